@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from lectern.llm import topk
 from lectern.llm.packing import op5_best_fit_packing
 from lectern.llm.pieces import op6_sentencepiece
+from lectern.llm.rollups import op9_token_counts
+from lectern.llm.topk import op1_exact_top_k
+from lectern.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op3_toxicity": op3_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sentencepiece": op6_sentencepiece,
+    "op9_token_counts": op9_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_exact_top_k": topk.ORACLE}
