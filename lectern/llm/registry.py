@@ -6,14 +6,18 @@ from lectern.llm import topk
 from lectern.llm.packing import op5_best_fit_packing
 from lectern.llm.pieces import op6_sentencepiece
 from lectern.llm.rollups import op9_token_counts
+from lectern.llm.simhash import op2_simhash_near_dedup
 from lectern.llm.topk import op1_exact_top_k
 from lectern.llm.toxicity import op3_toxicity
+from lectern.llm.vectors import op7_embedding_near_dedup
 
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op9_token_counts": op9_token_counts,
 }
 ORACLES = {"op1_exact_top_k": topk.ORACLE}
