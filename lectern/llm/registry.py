@@ -7,6 +7,8 @@ from lectern.llm.packing import op5_best_fit_packing
 from lectern.llm.pieces import op6_sentencepiece
 from lectern.llm.rollups import op9_token_counts
 from lectern.llm.simhash import op2_simhash_near_dedup
+from lectern.llm.substrings import op8_substring_dedup
+from lectern.llm.suffixes import op10_suffix_array_dedup
 from lectern.llm.topk import op1_exact_top_k
 from lectern.llm.toxicity import op3_toxicity
 from lectern.llm.vectors import op7_embedding_near_dedup
@@ -18,6 +20,8 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 ORACLES = {"op1_exact_top_k": topk.ORACLE}
