@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.llm import topk
 from lectern.llm.packing import op5_best_fit_packing
 from lectern.llm.pieces import op6_sentencepiece
+from lectern.llm.pii import op4_pii
 from lectern.llm.rollups import op9_token_counts
 from lectern.llm.simhash import op2_simhash_near_dedup
 from lectern.llm.substrings import op8_substring_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_pii": op4_pii,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
