@@ -8,7 +8,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import bounds, components, cut, dealt, key_runs, table
@@ -36,15 +36,17 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) of whole texts; null and blank texts have 0."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE, *more: str) -> DataFrame:
+    """(doc_id, more long..., fp long) of whole texts; null and blank texts have 0."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x.as_py() or b"", width) for x in batch.column("text")], "uint64")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view("int64"))], names=["doc_id", "fp"])
+            columns = [*(batch.column(c) for c in ("doc_id", *more)), pa.array(found.view("int64"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *more, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, F.col("text").cast("binary").alias("text"))
+    return whole.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *more, "fp")))
 
 
 class Ring:
@@ -165,13 +167,30 @@ def near_groups(docs: DataFrame, distance: int = DISTANCE, width: int = SHINGLE)
     component_id is the smallest doc_id that links reach. Null and blank texts have fingerprint 0 and link like
     any other; a row with a null doc_id gets its component's id, null if it has none."""
     rows = cut(fingerprints(docs, width))
+    return rows.join(_components(rows, distance), "fp").select("doc_id", "fp", "component_id")
+
+
+def _components(rows: DataFrame, distance: int) -> DataFrame:
+    """(fp, root, component_id) of each fingerprint in rows (doc_id, fp)."""
     classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     joined = components(links(classes, distance))
     grouped = classes.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     grouped = cut(grouped)
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return grouped.join(smallest, "root").select("fp", "root", "component_id")
+
+
+def first_of_groups(docs: DataFrame, distance: int = DISTANCE, width: int = SHINGLE) -> DataFrame:
+    """docs with one row of each group of near copies: the one with the smallest doc_id (of equals, the smallest
+    hash of id and text; of rows repeated whole, any). A row without a doc_id stays if its group has no other."""
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    named = docs.withColumn("__name", F.xxhash64(F.col("doc_id").cast("long"), F.length(text), text))
+    rows = cut(fingerprints(named, width, "__name"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__name")
+    first = rows.join(_components(rows, distance), "fp").groupBy("root").agg(F.min_by("__name", order).alias("__name"))
+    left = named.join(first.select("__name"), "__name")
+    turn = F.row_number().over(Window.partitionBy("__name").orderBy("__name"))
+    return left.withColumn("__turn", turn).where("__turn = 1").select(*docs.columns)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

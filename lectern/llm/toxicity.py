@@ -164,6 +164,19 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return _whole(docs).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def cleaned(docs: DataFrame, model: Model) -> DataFrame:
+    """docs without the rows whose text scores 0.5 or more; all columns stay as they are."""
+    kept = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known = kept.value, Terms()
+        for batch in batches:
+            texts = ((x.as_py() or "").encode() for x in batch.column("text"))
+            yield batch.filter(pa.array([own.score(known.of(x)) < 0.5 for x in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _whole(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
