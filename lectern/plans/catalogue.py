@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.operators import layout
+from lectern.functions import text as tx
+from lectern.functions.markup import markup
+from lectern.operators import layout, lookups, manifest, nesting, quality, sequences
 from lectern.session import table
 
+#: White space and words as both engines' patterns spell them.
+SP, WD = r"\t-\r\x1c-\x20\x{85}\p{Z}", r"[^\t-\r\x1c-\x20\x{85}\p{Z}]+"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,3 +40,467 @@ SELECT conv_id, CAST(min(turn) AS BIGINT) AS "start", CAST(max(turn) AS BIGINT)
 """)
 def conv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.covering_ranges(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", F.col("role") == "user")
+
+
+@query("""
+WITH f AS (SELECT conv_id, turn, role, text, role = 'user' AS s, bool_or(role = 'user') OVER (PARTITION BY conv_id) AS has,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations WHERE turn > 0 OR turn = 0),
+     i AS (SELECT conv_id, turn, rn, sum(CASE WHEN s OR rn = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS island FROM f WHERE has),
+     r AS (SELECT conv_id, min(rn) AS pos, min(turn) AS a, max(turn) AS b FROM i GROUP BY conv_id, island),
+     h AS (SELECT conv_id, turn, rn AS pos, role FROM f WHERE role <> 'user' AND length(text) > 0),
+     u AS (SELECT conv_id, pos, 0 AS k, 'heading' AS type, turn AS verse, CAST(NULL AS BIGINT) AS "start", CAST(NULL AS BIGINT) AS "end" FROM h
+           UNION ALL SELECT conv_id, pos, 1, 'paragraph', NULL, a, b FROM r)
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY pos, k) - 1 AS BIGINT) AS "order", type, CAST(verse AS BIGINT) AS verse, CAST("start" AS BIGINT) AS "start", CAST("end" AS BIGINT) AS "end" FROM u
+""")
+def conv_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as verses (numbered from 1): user turns open ranges, other turns are headings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("ordinal"), (F.col("turn") + 1).cast("bigint").alias("verse"), (F.col("role") == "user").alias("paragraph"), "role", "text")
+    titles = turns.where("role <> 'user'").select("conv_id", "verse", F.lit(1).alias("level"), "ordinal", F.lit(0).alias("seq"), F.col("role").alias("type"), F.concat_ws("/", "ordinal", "text").alias("text"), F.lit(None).cast("boolean").alias("canonical")).drop("ordinal")
+    found = layout.editorial(turns, titles, ["conv_id"])
+    back = lambda c: (F.col(c) - 1).cast("bigint").alias(c)
+    return found.select("conv_id", "order", "type", back("verse"), back("start"), back("end"))
+
+
+@query("""
+SELECT conv_id, CAST(count(*) AS BIGINT) AS checked, CAST(count(*) FILTER (WHERE n <> rn - 1) AS BIGINT) AS violations
+FROM (SELECT conv_id, turn + CASE WHEN turn % 7 = 3 THEN 1 ELSE 0 END AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations) GROUP BY conv_id
+""")
+def conv_sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turn numbers, with a fault put in at each seventh."""
+    turns = table(spark, sf_dir, "conversations").withColumn("n", F.col("turn") + F.when(F.col("turn") % 7 == 3, 1).otherwise(0))
+    return sequences.numbering_gaps(turns, ["conv_id"], ["turn"], "n")
+
+
+@query("""
+SELECT l_orderkey, CAST(count(*) AS BIGINT) AS checked, CAST(count(*) FILTER (WHERE l_linenumber <> rn) AS BIGINT) AS violations FROM
+(SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem) GROUP BY l_orderkey
+""")
+def line_ordinal_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return sequences.numbering_gaps(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], "l_linenumber", 1)
+
+
+@query("""
+WITH s AS (SELECT user_id, event_id, ts, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 END AS stage FROM events),
+     m AS (SELECT *, max(stage) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS most FROM s)
+SELECT user_id, CAST(count(*) AS BIGINT) AS checked, CAST(count(*) FILTER (WHERE stage < most) AS BIGINT) AS violations FROM m WHERE stage IS NOT NULL GROUP BY user_id
+""")
+def event_stage_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_type")
+    stage = F.when(kind == "view", 0).when(kind == "click", 1).when(kind == "purchase", 2)
+    return sequences.stage_regressions(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], stage)
+
+
+@query("""
+WITH d AS (SELECT user_id, sum(CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 3 = 1 THEN -1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS depth FROM events)
+SELECT user_id, CAST(count(*) FILTER (WHERE depth NOT IN (0, 1)) AS BIGINT) AS violations FROM d GROUP BY user_id
+""")
+def event_group_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as brackets by their id: opening, closing, or neither."""
+    return sequences.overlapping_groups(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], F.col("event_id") % 3 == 0, F.col("event_id") % 3 == 1)
+
+
+@query("""
+WITH m AS (SELECT conv_id, turn, turn % 4 < 2 AS same, text, role FROM conversations),
+     n AS (SELECT *, CASE WHEN lag(same) OVER (PARTITION BY conv_id ORDER BY turn) IS NOT DISTINCT FROM same AND row_number() OVER (PARTITION BY conv_id ORDER BY turn) > 1 THEN 0 ELSE 1 END AS new FROM m),
+     r AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM n)
+SELECT conv_id, same, CAST(min(turn) AS BIGINT) AS first, CAST(max(turn) AS BIGINT) AS last, string_agg(role, '|' ORDER BY turn) AS text FROM r GROUP BY conv_id, same, run
+""")
+def conv_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").withColumn("same", F.col("turn") % 4 < 2)
+    return sequences.merge_runs(turns, ["conv_id"], "turn", ["same"], "role", "|")
+
+
+@query(f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{WD}')) AS BIGINT) AS n_words FROM documents")
+def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.regexp_extract_all("text", F.lit(f"({tx.WORD})"), F.lit(1))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(found).cast("bigint").alias("n_words"))
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, left(text, 400) AS t FROM documents),
+     w AS (SELECT doc_id, unnest(regexp_extract_all(t, '{WD}')) AS word, generate_subscripts(regexp_extract_all(t, '{WD}'), 1) AS number, regexp_extract_all(t, '([{SP}]*){WD}', 1) AS gaps FROM t),
+     e AS (SELECT doc_id, word, number, CAST(sum(length(word) + length(gaps[number])) OVER (PARTITION BY doc_id ORDER BY number ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end" FROM w)
+SELECT doc_id, CAST(number AS BIGINT) AS number, word, "end" - length(word) AS "start", "end" FROM e
+""")
+def doc_word_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the words of each document's abstract, its first 400 characters."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.words(F.left("text", F.lit(400)))).alias("w"))
+    return rows.select("doc_id", F.col("w.number").cast("bigint").alias("number"), "w.word", F.col("w.start").cast("bigint").alias("start"), F.col("w.end").cast("bigint").alias("end"))
+
+
+@query(f"""
+WITH v AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '[ ]' WHEN 1 THEN chr(9) || '[]' || chr(160) WHEN 2 THEN '' ELSE text END AS t FROM documents)
+SELECT doc_id FROM v WHERE length(regexp_replace(replace(replace(t, '[', ''), ']', ''), '^[{SP}]+|[{SP}]+$', '', 'g')) > 0
+""")
+def doc_blank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that aren't blank, after a fifth each is made brackets, odd spaces, and empty."""
+    of = F.col("doc_id") % 5
+    text = F.when(of == 0, "[ ]").when(of == 1, "\t[]\u00a0").when(of == 2, "").otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").where(~tx.is_blank(text)).select("doc_id")
+
+
+@query("""
+WITH v AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN chr(13) || chr(10) || chr(10) || text ELSE text END AS t FROM documents)
+SELECT doc_id, CAST(length(regexp_replace(t, '^[\\r\\n]+', '')) AS BIGINT) AS n, md5(regexp_replace(t, '^[\\r\\n]+', '')) AS h FROM v
+""")
+def doc_leading_eol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = tx.strip_leading_eol(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\r\n\n"), "text")).otherwise(F.col("text")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.length(text).cast("bigint").alias("n"), F.md5(text).alias("h"))
+
+
+@query("SELECT CAST(min(doc_id) AS BIGINT) AS doc_id, lang, CAST(count(*) AS BIGINT) AS copies FROM documents GROUP BY lang, sha1(text)")
+def doc_title_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of the documents with one text and language, and how many there are. Texts are compared by hash."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha1("text").alias("h"))
+    first = nesting.first_wins(docs, ["lang"], [F.col("h")], ["doc_id"])
+    return first.join(docs.groupBy("lang", "h").agg(F.count("*").alias("copies")), ["lang", "h"]).select("doc_id", "lang", "copies")
+
+
+@query("""
+SELECT c.c_custkey, coalesce(n.n_name, lower(c.c_name)) AS abbr, coalesce(r.r_name, nullif(c.c_mktsegment, 'BUILDING'), c.c_name) AS title, coalesce(n2.n_name, '') AS language
+FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0) n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN (SELECT * FROM region WHERE r_regionkey % 2 = 0) r ON c.c_nationkey % 5 = r.r_regionkey
+LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 3 = 0) n2 ON c.c_nationkey = n2.n_nationkey
+""")
+def cust_dim_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three lookups with their defaults, each in a dimension with gaps."""
+    nation = table(spark, sf_dir, "nation")
+    rows = table(spark, sf_dir, "customer").withColumn("region", (F.col("c_nationkey") % 5).cast("int"))
+    rows = lookups.with_default(rows, lookups.small(nation.where("n_nationkey % 2 = 0")), {"c_nationkey": "n_nationkey"}, "n_name", F.lower("c_name"), "abbr")
+    otherwise = F.coalesce(F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")), F.col("c_name"))
+    rows = lookups.with_default(rows, lookups.small(table(spark, sf_dir, "region").where("r_regionkey % 2 = 0")), {"region": "r_regionkey"}, "r_name", otherwise, "title")
+    rows = lookups.with_default(rows, lookups.small(nation.where("n_nationkey % 3 = 0")), {"c_nationkey": "n_nationkey"}, "n_name", F.lit(""), "language")
+    return rows.select("c_custkey", "abbr", "title", "language")
+
+
+@query("""
+SELECT n_nationkey, coalesce(CASE WHEN n_nationkey % 4 = 0 THEN n_nationkey + 100 END, CASE n_regionkey WHEN 1 THEN n_nationkey WHEN 2 THEN n_nationkey + 39 END) AS nr FROM nation
+""")
+def book_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers by name, else by place in the first or second part, else null."""
+    nation = table(spark, sf_dir, "nation")
+    numbers = nation.where("n_nationkey % 4 = 0").select(F.col("n_name").alias("source_name"), (F.col("n_nationkey") + 100).alias("nr"))
+    return lookups.book_number(nation, lookups.small(numbers), "n_name", "n_regionkey", "n_nationkey").select("n_nationkey", "nr")
+
+
+@query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id")
+def docs_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.unapproved(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def docs_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.approved_only(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1995-02-01')")
+def parts_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    month = table(spark, sf_dir, "lineitem").where("l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1995-02-01'")
+    return quality.missing_targets(table(spark, sf_dir, "part"), month.select(F.col("l_partkey").alias("p_partkey")), ["p_partkey"])
+
+
+@query("SELECT left(text, 12) AS key, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT sha1(text)) AS BIGINT) AS n_contents FROM documents GROUP BY 1 HAVING count(DISTINCT sha1(text)) > 1")
+def bench_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beginnings of texts as paths under which contents differ."""
+    return lookups.conflicts(table(spark, sf_dir, "documents").withColumn("key", F.left("text", F.lit(12))), "key", F.col("text"))
+
+
+@query("SELECT source AS key, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.duplicates(table(spark, sf_dir, "documents").withColumnRenamed("source", "key"), "key")
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, left(text, 300) AS t FROM documents),
+     w AS (SELECT doc_id, unnest(regexp_extract_all(t, '{WD}')) AS word, generate_subscripts(regexp_extract_all(t, '{WD}'), 1) AS number, regexp_extract_all(t, '([{SP}]*){WD}', 1) AS gaps FROM t),
+     e AS (SELECT doc_id, number, word, sum(length(word) + length(gaps[number])) OVER (PARTITION BY doc_id ORDER BY number ROWS UNBOUNDED PRECEDING) AS b FROM w),
+     r AS (SELECT doc_id, k, min(number) FILTER (WHERE b > k * 50 AND b - length(word) < k * 50 + 20) AS lo, max(number) FILTER (WHERE b > k * 50 AND b - length(word) < k * 50 + 20) AS hi FROM e, (SELECT unnest(range(6)) AS k) GROUP BY doc_id, k)
+SELECT doc_id, CAST(k AS BIGINT) AS k, CAST(coalesce(lo, 0) AS BIGINT) AS word_start, CAST(coalesce(hi, 0) AS BIGINT) AS word_end FROM r
+""")
+def word_range_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that fixed ranges of each abstract's first 300 characters touch."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", tx.words(F.left("text", F.lit(300))).alias("w"), F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k"))
+    rows = rows.select("doc_id", F.col("k").cast("bigint").alias("k"), sequences.overlapping_words(F.col("w"), F.col("k") * 50, F.col("k") * 50 + 20).alias("x"))
+    return rows.select("doc_id", "k", F.col("x.word_start").cast("bigint").alias("word_start"), F.col("x.word_end").cast("bigint").alias("word_end"))
+
+
+@query("""
+SELECT o_custkey, o_orderkey, CAST(count(*) AS BIGINT) AS n_lines, md5(string_agg(l_linenumber || '/' || l_partkey || '/' || l_suppkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey)) AS lines
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey, o_orderkey
+""")
+def order_lines_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").withColumn("v", F.concat_ws("/", "l_linenumber", "l_partkey", "l_suppkey"))
+    nested = nesting.nest(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], ["v"], "lines")
+    joined = nested.join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select("o_custkey", "o_orderkey", F.size("lines").cast("bigint").alias("n_lines"), F.md5(F.array_join(F.transform("lines", lambda x: x["v"]), ",")).alias("lines"))
+
+
+@query("""
+SELECT o_custkey, CAST(count(*) AS BIGINT) AS n_orders, md5(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderdate, o_orderkey)) AS orders, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_order
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY o_custkey
+""")
+def cust_orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with lines, nested by customer in the order first seen."""
+    orders = nesting.with_children(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+    nested = nesting.nest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey"], "orders")
+    ids = F.transform("orders", lambda x: x["o_orderkey"].cast("string"))
+    return nested.select("o_custkey", F.size("orders").cast("bigint").alias("n_orders"), F.md5(F.array_join(ids, ",")).alias("orders"), F.col("orders")[0]["o_orderkey"].alias("first_order"))
+
+
+@query("""
+SELECT user_id, lower(event_type) AS key, arg_max(props, event_id) AS value, CAST(min(event_id) AS BIGINT) AS first FROM events GROUP BY user_id, lower(event_type)
+""")
+def props_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nesting.last_wins(table(spark, sf_dir, "events"), ["user_id"], F.col("event_type"), "props", "event_id")
+
+
+@query("""
+SELECT user_id, string_agg(key || '=' || value, ';' ORDER BY first) AS entries FROM
+(SELECT user_id, lower(event_type) AS key, arg_max(props, event_id) AS value, min(event_id) AS first FROM events GROUP BY user_id, lower(event_type)) GROUP BY user_id
+""")
+def props_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = nesting.as_map(nesting.last_wins(table(spark, sf_dir, "events"), ["user_id"], F.col("event_type"), "props", "event_id"), ["user_id"])
+    pairs = F.transform(F.map_entries("entries"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return rows.select("user_id", F.array_join(pairs, ";").alias("entries"))
+
+
+@query("""
+SELECT p_partkey, string_agg(scheme || '=' || vals, ';' ORDER BY first) AS groups FROM (
+ SELECT p_partkey, scheme, string_agg(v, ',' ORDER BY i) AS vals, min(i) AS first FROM (
+  SELECT p_partkey, i, CASE WHEN instr(x, ':') > 1 THEN split_part(x, ':', 1) ELSE 'default' END AS scheme, CASE WHEN instr(x, ':') > 0 THEN substr(x, instr(x, ':') + 1) ELSE x END AS v FROM (
+   SELECT p_partkey, unnest(s) AS x, generate_subscripts(s, 1) AS i FROM (SELECT p_partkey, string_split('type:' || replace(p_type, ' ', ' type:') || ' brand:' || p_brand || ' :' || p_size || ' plain', ' ') AS s FROM part))) WHERE v <> '' GROUP BY p_partkey, scheme) GROUP BY p_partkey
+""")
+def scheme_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = F.concat(F.lit("type:"), F.replace("p_type", F.lit(" "), F.lit(" type:")), F.lit(" brand:"), "p_brand", F.lit(" :"), F.col("p_size").cast("string"), F.lit(" plain"))
+    groups = F.map_entries(tx.scheme_groups(coded))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.transform(groups, lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";").alias("groups"))
+
+
+@query("""
+SELECT event_type, fields, CAST(count(*) AS BIGINT) AS n FROM (SELECT event_type, array_to_string(list_sort(json_keys(p)), ',') AS fields FROM
+(SELECT event_type, CASE WHEN event_id % 3 = 0 THEN '{"z": 1, "a": ' || event_id || '}' ELSE props END AS p FROM events)) GROUP BY event_type, fields
+""")
+def props_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"z": 1, "a": '), F.col("event_id").cast("string"), F.lit("}"))).otherwise(F.col("props"))
+    return quality.key_profile(table(spark, sf_dir, "events").withColumn("p", text), ["event_type"], "p")
+
+
+@query("""
+SELECT source, CAST(count(*) AS BIGINT) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes, max((strlen(text), doc_id))[2] AS largest_path, CAST(max(strlen(text)) AS BIGINT) AS largest_bytes FROM documents GROUP BY ROLLUP (source)
+""")
+def size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("source", "doc_id", F.octet_length("text").cast("bigint").alias("size"))
+    return quality.size_report(files, "source", "doc_id", "size")
+
+
+@query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size FROM documents ORDER BY size DESC, doc_id DESC LIMIT 20")
+def size_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.largest(table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("bigint").alias("size")), "doc_id", "size")
+
+
+@query("""
+WITH f AS (SELECT source || '/' || CASE WHEN doc_id % 50 = 0 THEN '.x.tmp' ELSE '' END || doc_id AS path, CAST(strlen(text) AS BIGINT) AS bytes FROM documents)
+SELECT path, CASE WHEN bytes >= 20000 THEN 'size' ELSE 'temporary' END AS rule, bytes FROM f WHERE bytes >= 20000 OR path LIKE '%/.x.tmp%' ORDER BY path
+""")
+def size_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat("source", F.lit("/"), F.when(F.col("doc_id") % 50 == 0, ".x.tmp").otherwise(""), F.col("doc_id").cast("string"))
+    return quality.oversized(table(spark, sf_dir, "documents").select(path.alias("path"), F.octet_length("text").cast("bigint").alias("bytes")), "path", "bytes", 20_000)
+
+
+@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY event_type")
+def type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("id_sum"))
+
+
+@query("""
+SELECT user_id, CAST(count(*) FILTER (WHERE v = 'error') AS BIGINT) AS error, CAST(count(*) FILTER (WHERE v = 'info') AS BIGINT) AS info, CAST(count(*) FILTER (WHERE v = 'warning') AS BIGINT) AS warning FROM
+(SELECT user_id, CASE event_id % 4 WHEN 0 THEN 'error' WHEN 1 THEN 'warning' WHEN 2 THEN 'info' END AS v FROM events) GROUP BY user_id
+""")
+def severity_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = F.col("event_id") % 4
+    return quality.severity_buckets(table(spark, sf_dir, "events"), ["user_id"], F.when(of == 0, "error").when(of == 1, "warning").when(of == 2, "info"), ["error", "info", "warning"])
+
+
+@query("""
+SELECT source, doc_id, lang FROM (SELECT d.source, d.doc_id, d.lang, row_number() OVER (PARTITION BY d.source ORDER BY CASE WHEN l.quality = 1 THEN 0 WHEN l.quality = 0 THEN 1 ELSE 2 END, d.doc_id) AS rn
+FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id) WHERE rn = 1
+""")
+def representative_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", "lang").join(labels, "doc_id", "left")
+    rank = F.when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+    return nesting.representative(docs, ["source"], rank, "doc_id").select("source", "doc_id", "lang")
+
+
+LINES = "SELECT o_custkey, l_orderkey, sha1(string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey)) AS sha, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_orderkey"
+
+
+def _chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as chapters: their lines' text, hashed, with a url."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("v", F.concat_ws(":", "l_linenumber", "l_partkey", "l_suppkey"))
+    nested = nesting.nest(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], ["v"], "lines")
+    nested = nested.join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    body = F.array_join(F.transform("lines", lambda x: x["v"]), ",")
+    return manifest.hashed(nested, body, tx.joined_url(F.lit("v2"), "o_custkey", F.concat(F.col("l_orderkey").cast("string"), F.lit(".json"))))
+
+
+@query(f"SELECT o_custkey, l_orderkey, 'v2/' || o_custkey || '/' || l_orderkey || '.json' AS url, sha, CAST(n AS BIGINT) AS n_lines FROM ({LINES})")
+def manifest_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chapters(spark, sf_dir).select("o_custkey", "l_orderkey", "url", "sha", F.size("lines").cast("bigint").alias("n_lines"))
+
+
+@query(f"SELECT o_custkey, CAST(count(*) AS BIGINT) AS n, sha1(string_agg(l_orderkey || ':' || sha, ',' ORDER BY l_orderkey)) AS sha FROM ({LINES}) GROUP BY o_custkey")
+def manifest_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.rollup_hash(_chapters(spark, sf_dir), ["o_custkey"], "l_orderkey")
+
+
+@query(f"""
+WITH b AS (SELECT o_custkey, sha1(string_agg(l_orderkey || ':' || sha, ',' ORDER BY l_orderkey)) AS sha FROM ({LINES}) GROUP BY o_custkey)
+SELECT c_nationkey, CAST(count(*) AS BIGINT) AS n, sha1(string_agg(o_custkey || ':' || sha, ',' ORDER BY o_custkey)) AS sha FROM b JOIN customer ON c_custkey = o_custkey GROUP BY c_nationkey
+""")
+def manifest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    books = manifest_book(spark, sf_dir).join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    return manifest.rollup_hash(books, ["c_nationkey"], "o_custkey")
+
+
+@query("""
+SELECT n_regionkey, 'nr' || chr(9) || 'name' || chr(10) || string_agg(rn || chr(9) || n_name, chr(10) ORDER BY n_name) || chr(10) AS body
+FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS rn FROM nation) GROUP BY n_regionkey
+""")
+def manifest_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = manifest.numbered(table(spark, sf_dir, "nation"), ["n_regionkey"], ["n_name"])
+    return manifest.listing(rows, ["n_regionkey"], [F.col("n").cast("string"), F.col("n_name")], ["n_name"], "nr\tname")
+
+
+@query("""
+SELECT n_regionkey, '{' || string_agg('"' || n_name || '":"' || sha1(n_name) || '"', ',' ORDER BY n_name) || '}' AS body FROM nation GROUP BY n_regionkey
+""")
+def manifest_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.checksum_map(manifest.hashed(table(spark, sf_dir, "nation"), F.col("n_name"), F.lit("")), ["n_regionkey"], "n_name")
+
+
+@query("""
+SELECT n_regionkey, '{' || string_agg('"' || n_name || '":{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","url":"x/' || n_nationkey || '","sha":"' || sha1(n_name) || '"}', ',' ORDER BY n_name) || '}' AS body FROM nation GROUP BY n_regionkey
+""")
+def manifest_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = manifest.hashed(table(spark, sf_dir, "nation").withColumn("bulk", F.lit("x")), F.col("n_name"), tx.joined_url(F.lit("x"), "n_nationkey"))
+    return manifest.detail_map(rows, ["n_regionkey"], "n_name", ["bulk"])
+
+
+@query("""
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_lines, sha256(string_agg(turn || chr(9) || role || chr(9) || text, chr(10) ORDER BY turn) || chr(10)) AS sha256 FROM conversations GROUP BY conv_id
+""")
+def stream_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.ordered_digest(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], F.concat_ws("\t", "turn", "role", "text"))
+
+
+@query("""
+WITH v AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN regexp_replace(url, '^[a-z]+://', '') WHEN 1 THEN '../' || page_id WHEN 2 THEN 'a//' || page_id ELSE url END AS p FROM pages)
+SELECT page_id, length(p) > 0 AND NOT regexp_matches(p, '(^|/)(\\.{0,2})(/|$)') AND NOT contains(p, chr(92)) AS safe FROM v
+""")
+def url_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = F.col("page_id") % 4
+    path = F.when(of == 0, F.regexp_replace("url", "^[a-z]+://", "")).when(of == 1, F.concat(F.lit("../"), F.col("page_id").cast("string"))).when(of == 2, F.concat(F.lit("a//"), F.col("page_id").cast("string"))).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", tx.is_safe_path(path).alias("safe"))
+
+
+@query("""
+SELECT doc_id, contains(lower(text), 'license') OR contains(lower(text), 'the and') AS permanent FROM documents
+""")
+def failure_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", tx.is_permanent_failure(F.col("text"), ["license", "the and"]).alias("permanent"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN printf('%.2f', n / 1024.0::DOUBLE) || ' KiB' WHEN n < 1073741824 THEN printf('%.2f', n / 1048576.0::DOUBLE) || ' MiB' ELSE printf('%.2f', n / 1073741824.0::DOUBLE) || ' GiB' END AS size
+FROM (SELECT c_custkey, c_custkey * c_custkey * 512 AS n FROM customer)
+""")
+def human_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", tx.human_bytes(F.col("c_custkey") * F.col("c_custkey") * 512).alias("size"))
+
+
+@query("SELECT c_custkey, regexp_replace(lower(c_name || ' & ' || c_mktsegment), '[^\\p{L}\\p{N}]', '', 'g') AS name FROM customer")
+def normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", tx.normalized_name(F.concat("c_name", F.lit(" & "), "c_mktsegment")).alias("name"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag || ' ' || l_orderkey || ':' || l_linenumber AS name, l_returnflag || ' ' || l_orderkey AS chapter FROM lineitem")
+def verse_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", tx.verse_name(F.col("l_returnflag"), F.col("l_orderkey"), F.col("l_linenumber")).alias("name"), tx.chapter_name(F.col("l_returnflag"), F.col("l_orderkey")).alias("chapter"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 5 < 2 THEN true WHEN n_nationkey % 5 < 4 THEN false END AS flag FROM nation")
+def xml_booleans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.array(*[F.lit(x) for x in (" TRUE", "yes\t", "0", "No", "maybe")])
+    return table(spark, sf_dir, "nation").select("n_nationkey", tx.xml_boolean(F.get(words, (F.col("n_nationkey") % 5).cast("int"))).alias("flag"))
+
+
+@query("SELECT conv_id, turn, 'turn ' || turn AS expected FROM (SELECT conv_id, turn FROM conversations WHERE turn % 3 <> 1) WHERE false")
+def numbers_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turn numbers of each conversation that aren't 1, 2, ...: none in these tables."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", (F.col("turn") + 1).cast("bigint").alias("turn"))
+    return quality.expected_numbers(turns, ["conv_id"], "turn").select("conv_id", "turn", F.concat(F.lit("turn "), "expected").alias("expected"))
+
+
+@query("""
+WITH r AS (SELECT o_custkey, o_orderkey AS a, o_orderkey + (o_orderkey % 3) AS b FROM orders), g AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY o_custkey ORDER BY a, b), 0) + 1 AS behind FROM r)
+SELECT o_custkey, a, b, CASE WHEN a > behind THEN 'gap' ELSE 'overlap' END AS rule FROM g WHERE a <> behind
+""")
+def range_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as ranges of keys, by customer."""
+    ranges = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("a"), (F.col("o_orderkey") + F.col("o_orderkey") % 3).alias("b"))
+    return sequences.range_gaps(ranges, ["o_custkey"], "a", "b")
+
+
+def _part_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as verses: each word of the name is a word element with its type as lemma, the second is a name."""
+    words = F.split("p_name", " ")
+    lemma = F.replace("p_type", F.lit(" "), F.lit("_"))
+    word = lambda w, i: F.concat(F.lit('<w lemma="t:'), lemma, F.lit('">'), F.when(i == 1, F.concat(F.lit('<name type="x">'), w, F.lit("</name>"))).otherwise(w), F.lit("</w>"))
+    raw = F.concat(F.lit('<title type="main">'), "p_brand", F.lit('</title><milestone type="x-p"/><title type="main">'), "p_brand", F.lit("</title>"), F.array_join(F.transform(words, word), " "))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_type", markup(raw, F.col("p_name")).alias("m"))
+
+
+@query("""
+SELECT p_partkey, CAST(i - 1 AS BIGINT) AS i, w AS token, replace(p_type, ' ', '_') AS lemma, CAST(i AS BIGINT) AS word_start, CAST(i AS BIGINT) AS word_end FROM
+(SELECT p_partkey, p_type, unnest(string_split(p_name, ' ')) AS w, generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part) WHERE w <> ''
+""")
+def part_markup_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _part_markup(spark, sf_dir).select("p_partkey", F.posexplode("m.annotated.tokens").alias("i", "t"))
+    n = lambda c: F.col(c).cast("bigint")
+    return rows.select("p_partkey", n("i").alias("i"), "t.token", F.col("t.lemma")["t"][0].alias("lemma"), n("t.word_start").alias("word_start"), n("t.word_end").alias("word_end"))
+
+
+@query("""
+SELECT p_partkey, 'name' AS tag, string_split(p_name, ' ')[2] AS span, 'x' AS type, CAST(1 AS BIGINT) AS token_start, CAST(1 AS BIGINT) AS token_end, CAST(2 AS BIGINT) AS word_start FROM part WHERE len(string_split(p_name, ' ')) > 1
+""")
+def part_markup_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _part_markup(spark, sf_dir).select("p_partkey", F.explode("m.annotated.spans").alias("s"))
+    n = lambda c: F.col(f"s.{c}").cast("bigint").alias(c)
+    return rows.select("p_partkey", "s.tag", "s.span", F.col("s.attrs")["type"].alias("type"), n("token_start"), n("token_end"), n("word_start"))
+
+
+@query("SELECT p_partkey, true AS paragraph, CAST(1 AS BIGINT) AS n_titles, 'main' AS type, p_brand AS text, p_name AS plain FROM part")
+def part_markup_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _part_markup(spark, sf_dir)
+    first = F.col("m.titles")[0]
+    return rows.select("p_partkey", F.col("m.paragraph").alias("paragraph"), F.size("m.titles").cast("bigint").alias("n_titles"), first["type"].alias("type"), first["text"].alias("text"), F.col("m.plain").alias("plain"))
+
+
+@query("""
+SELECT p_partkey, CAST(sum(i) AS BIGINT) AS places FROM (SELECT p_partkey, unnest(range(1, len(string_split(p_name, ' ')) + 1)) AS i FROM part) GROUP BY p_partkey
+""")
+def part_markup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens put at their places by the cursor fold, and from there to words."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", tx.words(F.col("p_name")).alias("w"), sequences.align_tokens(F.split("p_name", " "), F.col("p_name")).alias("t"))
+    place = F.transform("t", lambda t: sequences.overlapping_words(F.col("w"), t["start"] - 1, t["end"])["word_start"])
+    return rows.select("p_partkey", F.aggregate(place, F.lit(0), lambda a, x: a + x).cast("bigint").alias("places"))
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS readable FROM pages")
+def page_parse_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages aren't XML fragments: none can be read, which is what the markup functions are to say of them."""
+    rows = table(spark, sf_dir, "pages").select(markup(F.col("html"), F.lit(None)).alias("m"))
+    return rows.agg(F.count("*").alias("pages"), F.count("m.plain").alias("readable"))
