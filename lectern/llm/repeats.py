@@ -215,17 +215,26 @@ def removed(docs: DataFrame, kind: Kind) -> DataFrame:
 def _sorted_spans(texts: DataFrame, copies: DataFrame, kind: Kind) -> DataFrame:
     """(key, span, a, b, least) of the windows a to b of spans that repeat, for keys with different spans."""
     wanted = copies.groupBy("name").agg(F.collect_list(F.struct("key", "span", "least", "many", "at", "lo", "n")).alias("spans"))
-    out_kind = "key long, span long, least long, many boolean, at int, n int, units binary"
+    fields = ["key", "span", "least", "many", "at", "n"]
+    schema = "key long, span long, least long, many boolean, at int, n int, units binary"
 
-    def cut_out(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, wants in zip(batch["text"], batch["spans"], strict=True):
-                units = kind.split(text)
-                rows = [(x["key"], x["span"], x["least"], x["many"], x["at"], x["n"], kind.joined(units[x["lo"] : x["lo"] + x["n"] + kind.window - 1])) for x in wants]
-                for k in range(0, len(rows), 5_000):
-                    yield pd.DataFrame(rows[k : k + 5_000], columns=["key", "span", "least", "many", "at", "n", "units"])
-
-    rows = stored(picked(texts.select("name", "text"), wanted).select("text", "spans").mapInPandas(cut_out, out_kind)).dropDuplicates(["key", "span"])
+            lists = {c: batch.column(c) for c in [*fields, "lo"]}
+            edges = lists["lo"].offsets.to_numpy()
+            flat = {c: x.values for c, x in lists.items()}
+            lo, n = flat["lo"].to_numpy(), flat["n"].to_numpy()
+            for first in range(0, len(batch), 100):
+                units = []
+                last = min(first + 100, len(batch))
+                for row in range(first, last):
+                    text = kind.split(batch.column("text")[row].as_py())
+                    units += [kind.joined(text[lo[k] : lo[k] + n[k] + kind.window - 1]) for k in range(edges[row], edges[row + 1])]
+                part = slice(edges[first], edges[last])
+                yield pa.RecordBatch.from_arrays([*(flat[c][part] for c in fields), pa.array(units, pa.binary())], names=[*fields, "units"])
+
+    wants = picked(texts.select("name", "text"), wanted).select("text", *[F.col(f"spans.{c}").alias(c) for c in [*fields, "lo"]])
+    rows = stored(wants.mapInArrow(cut_out, schema)).dropDuplicates(["key", "span"])
     large = copies.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > SORTED).select("key")
 
     def sort(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
