@@ -15,7 +15,7 @@ K = 5
 #: Rows of a block: candidates at least and at most, and queries at most.
 LEAST, MOST, ASKED = 512, 32_768, 8_192
 #: Entries first read from each list, and by what the depth grows.
-DEPTH, GROWTH = 16, 4
+DEPTH, GROWTH = 32, 16
 
 HITS = "query_id long, vec_id long, score long"
 
@@ -41,18 +41,18 @@ def best(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, own: int, k: i
     lower bound, only rows whose upper bound can are left, and their scores are resolved."""
     n = len(ids)
     used = np.flatnonzero(query)
-    weights, own_rows = query[used], ids == own
-    columns, up = vectors.T[used], (query[used] > 0)[:, None]
-    order = lists[used]
-    ends = columns[np.arange(len(used))[:, None], order[:, [0, -1]]] * weights[:, None]
-    low = ends.min(1)
+    weights, own_rows, columns, order = query[used], ids == own, vectors.T, lists
+    if len(used) < len(query):
+        columns, order = columns[used], order[used]
+    rank, up = np.arange(len(used))[:, None], (weights > 0)[:, None]
+    low = (columns[rank, order[:, [0, -1]]] * weights[:, None]).min(1)
     lower, unread = np.where(own_rows, -np.inf, low.sum()), np.ones((n, len(used)), bool)
     start, depth = 0, DEPTH
     while depth <= n // 2 and len(used):
         rows = np.where(up, order[:, n - depth : n - start][:, ::-1], order[:, start:depth])
-        values = np.take_along_axis(columns, rows, 1) * weights[:, None]
+        values = columns[rank, rows] * weights[:, None]
         lower += np.bincount(rows.ravel(), (values - low[:, None]).ravel(), n)
-        unread[rows, np.arange(len(used))[:, None]] = False
+        unread[rows, rank] = False
         front, least = values[:, -1], np.partition(lower, n - k)[n - k] if n >= k else -np.inf
         if front.sum() < least:
             left = np.flatnonzero(~own_rows & (lower + unread @ (front - low) >= least))
