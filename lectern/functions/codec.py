@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BYTES = "struct<base64:string,encoding:string,sha256:string,size:bigint,utf8:string>"
 STRICT = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
@@ -54,7 +55,7 @@ def mixed_text(data: bytes) -> str:
     return data.decode("utf-8", "lectern-mixed")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def mixed_decode(data: pd.Series) -> pd.Series:
     """mixed_text of binary values; Spark's decoders know no Windows-1252."""
     return data.map(lambda x: None if x is None else mixed_text(bytes(x)))

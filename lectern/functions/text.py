@@ -28,8 +28,8 @@ def strip_leading_eol(c: Column) -> Column:
 
 
 def is_blank(c: Column, ignored: str = "[]") -> Column:
-    """Whether nothing but white space is left without the ignored characters; null for null."""
-    return F.length(strip(F.translate(c, ignored, ""))) == 0
+    """Whether nothing but white space is left without the ignored string; null for null."""
+    return F.length(strip(F.replace(c, F.lit(ignored), F.lit("")) if ignored else c)) == 0
 
 
 def collapse(c: Column) -> Column:

@@ -43,12 +43,13 @@ def lines(files: DataFrame) -> DataFrame:
     every = split.select("source", "valid", F.size("parts").alias("of"), F.posexplode("parts").alias("line_no", "line"))
     # What follows the last line feed is a line only if it isn't empty, and then it lacks its end.
     kept = every.where("line_no < of - 1 OR length(line) > 0").withColumn("ended", F.col("line_no") < F.col("of") - 1)
-    return kept.select("source", F.col("line_no").cast("bigint").alias("line_no"), "line", "ended", F.from_json("line", RECORD).alias("record"))
+    return kept.select("source", F.col("line_no").cast("bigint").alias("line_no"), "line", "ended", (F.col("valid") | ~F.contains("line", F.lit("\ufffd"))).alias("valid"), F.from_json("line", RECORD).alias("record"))
 
 
-def _broken(rows: DataFrame, rule: str, when: Column | None = None, detail: Column | None = None) -> DataFrame:
-    rows = rows if when is None else rows.where(when)
-    return rows.select("source", F.col("line_no").cast("bigint").alias("line_no"), F.lit(rule).alias("rule"), (detail if detail is not None else F.lit(None)).cast("string").alias("detail"))
+def _broken(rows: DataFrame, rules: list[tuple]) -> DataFrame:
+    """(source, line_no, rule, detail) of (rule, condition, detail or none) that hold, all in one pass over rows."""
+    found = [F.when(when, F.struct(F.lit(rule).alias("rule"), (detail[0] if detail else F.lit(None)).cast("string").alias("detail"))) for rule, when, *detail in rules]
+    return rows.select("source", "line_no", F.explode(F.array_compact(F.array(*found))).alias("x")).select("source", "line_no", "x.*")
 
 
 def violations(log: DataFrame, expected: DataFrame | None = None, require_success: bool = True) -> DataFrame:
@@ -71,34 +72,33 @@ def violations(log: DataFrame, expected: DataFrame | None = None, require_succes
     in_group = Window.partitionBy("source", "begun").orderBy("line_no")
     rows = rows.withColumn("n_chunk", F.sum(chunk.cast("int")).over(in_group.rowsBetween(Window.unboundedPreceding, 0)) - 1).withColumn("group_id", F.first(F.when(begin, r["artifact_id"]), True).over(in_group))
     nested = [(c, byte_value_rule(r[c])) for c in BYTE_FIELDS]
-    found = [
-        _broken(rows, "line end", ~F.col("ended") | F.col("line").endswith("\r")),
-        _broken(rows, "line length", F.octet_length("line") + 1 > MAX_LINE),
-        _broken(rows, "UTF-8", ~F.is_valid_utf8("line")),
-        _broken(rows, "JSON object", r.isNull() | ~F.ltrim("line").startswith("{") | F.get_json_object("line", "$").isNull()),
-        _broken(rows, "sequence", ~r["sequence"].eqNullSafe(F.col("n")), r["sequence"]),
-        _broken(rows, "record type", F.coalesce(F.length("type"), F.lit(0)) == 0),
-        _broken(rows, "after footer", F.col("n") > F.col("ended_at")),
-        _broken(rows, "order", F.col("stage") < F.col("reached"), F.col("type")),
-        _broken(rows, "header first", (F.col("n") == 0) & ~F.col("type").eqNullSafe("header")),
-        _broken(rows, "one header", (F.col("type") == "header") & (F.col("n_type") > 0)),
-        _broken(rows, "one module", (F.col("type") == "module") & (F.col("n_type") > 0)),
-        _broken(rows, "header", (F.col("type") == "header") & ~(r["contract_version"].eqNullSafe(1) & (F.length(r["contract"]) > 0) & r["command"].eqNullSafe("extract"))),
-        _broken(rows, "producer", (F.col("type") == "header") & F.array_contains(F.transform(F.array(r["producer"], r["producer_version"], r["sword_version"]), lambda x: F.coalesce(F.length(x), F.lit(0)) == 0), True)),
-        _broken(rows, "ordinal", F.col("type").isin(NUMBERED) & ~r["ordinal"].eqNullSafe(F.col("n_type")), r["ordinal"]),
-        _broken(rows, "artifact overlap", begin & (F.col("open") > 0)),
-        _broken(rows, "artifact id", begin & ~r["artifact_id"].eqNullSafe(F.col("n_type")), r["artifact_id"]),
-        _broken(rows, "artifact group", (chunk | end) & ((F.col("open") < 1) | ~r["artifact_id"].eqNullSafe(F.col("group_id")))),
-        _broken(rows, "chunk index", chunk & ~r["index"].eqNullSafe(F.col("n_chunk")), r["index"]),
-        _broken(rows, "symlink target", begin & (r["file_type"] == "symlink") & r["target"].isNull()),
-        *[_broken(rows, f"byte value {c}", r[c].isNotNull() & rule.isNotNull(), rule) for c, rule in nested],
-        _broken(rows, "byte value book_name", r["scope"]["book_name"].isNotNull() & byte_value_rule(r["scope"]["book_name"]).isNotNull(), byte_value_rule(r["scope"]["book_name"])),
+    rules = [
+        ("line end", ~F.col("ended") | F.col("line").endswith("\r")),
+        ("line length", F.octet_length("line") + 1 > MAX_LINE),
+        ("UTF-8", ~F.col("valid")),
+        ("JSON object", r.isNull() | ~F.ltrim("line").startswith("{") | F.get_json_object("line", "$").isNull()),
+        ("sequence", ~r["sequence"].eqNullSafe(F.col("n")), r["sequence"]),
+        ("record type", F.coalesce(F.length("type"), F.lit(0)) == 0),
+        ("after footer", F.col("n") > F.col("ended_at")),
+        ("order", F.col("stage") < F.col("reached"), F.col("type")),
+        ("header first", (F.col("n") == 0) & ~F.col("type").eqNullSafe("header")),
+        ("one header", (F.col("type") == "header") & (F.col("n_type") > 0)),
+        ("one module", (F.col("type") == "module") & (F.col("n_type") > 0)),
+        ("header", (F.col("type") == "header") & ~(r["contract_version"].eqNullSafe(1) & (F.length(r["contract"]) > 0) & r["command"].eqNullSafe("extract"))),
+        ("producer", (F.col("type") == "header") & F.array_contains(F.transform(F.array(r["producer"], r["producer_version"], r["sword_version"]), lambda x: F.coalesce(F.length(x), F.lit(0)) == 0), True)),
+        ("ordinal", F.col("type").isin(NUMBERED) & ~r["ordinal"].eqNullSafe(F.col("n_type")), r["ordinal"]),
+        ("artifact overlap", begin & (F.col("open") > 0)),
+        ("artifact id", begin & ~r["artifact_id"].eqNullSafe(F.col("n_type")), r["artifact_id"]),
+        ("artifact group", (chunk | end) & ((F.col("open") < 1) | ~r["artifact_id"].eqNullSafe(F.col("group_id")))),
+        ("chunk index", chunk & ~r["index"].eqNullSafe(F.col("n_chunk")), r["index"]),
+        ("symlink target", begin & (r["file_type"] == "symlink") & r["target"].isNull()),
+        *[(f"byte value {c}", r[c].isNotNull() & rule.isNotNull(), rule) for c, rule in nested],
+        ("byte value book_name", r["scope"]["book_name"].isNotNull() & byte_value_rule(r["scope"]["book_name"]).isNotNull(), byte_value_rule(r["scope"]["book_name"])),
     ]
-    found.append(_artifact_violations(log))
-    found.append(_footer_violations(log, require_success))
+    found = [_broken(rows, rules), _artifact_violations(log), _footer_violations(log, require_success)]
     if expected is not None:
         module = log.where("record.type = 'module'").select("source", "line_no", utf8(r["name"]).alias("m"), r["classification"].alias("c")).join(expected, "source")
-        found += [_broken(module, "module", F.col("m") != F.col("module"), F.col("m")), _broken(module, "classification", F.col("c") != F.col("classification"), F.col("c"))]
+        found.append(_broken(module, [("module", F.col("m") != F.col("module"), F.col("m")), ("classification", F.col("c") != F.col("classification"), F.col("c"))]))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -118,8 +118,7 @@ def _artifact_violations(log: DataFrame) -> DataFrame:
     r = F.col("record")
     ends = log.where("record.type = 'artifact_end'").select("source", "line_no", r["artifact_id"].alias("artifact_id"), r["size"].alias("size"), r["sha256"].alias("sha"))
     both = ends.join(artifacts(log), ["source", "artifact_id"], "left")
-    size = _broken(both, "artifact size", ~F.col("size").eqNullSafe(F.length("content")))
-    return size.unionByName(_broken(both, "artifact sha256", ~F.col("sha").eqNullSafe(F.sha2("content", 256))))
+    return _broken(both, [("artifact size", ~F.col("size").eqNullSafe(F.length("content"))), ("artifact sha256", ~F.col("sha").eqNullSafe(F.sha2("content", 256)))])
 
 
 def summary(log: DataFrame) -> DataFrame:
@@ -138,7 +137,7 @@ def summary(log: DataFrame) -> DataFrame:
 def _footer_violations(log: DataFrame, require_success: bool) -> DataFrame:
     r = F.col("record")
     first = log.groupBy("source").agg(F.max("line_no").alias("line_no"), *[F.count_if(r["type"] == t).alias(t) for t in ("header", "module", "footer", "artifact_begin", "artifact_end")])
-    gone = [_broken(first, f"missing {t}", F.col(t) == 0) for t in ("header", "module", "footer")] + [_broken(first, "open artifact", F.col("artifact_begin") != F.col("artifact_end"))]
+    gone = [*[(f"missing {t}", F.col(t) == 0) for t in ("header", "module", "footer")], ("open artifact", F.col("artifact_begin") != F.col("artifact_end"))]
     foot = log.where(r["type"] == "footer").select("source", "line_no", r.alias("f")).join(summary(log), "source")
     f = F.col("f")
     entries = lambda m: F.array_sort(F.map_entries(m))
@@ -153,7 +152,7 @@ def _footer_violations(log: DataFrame, require_success: bool) -> DataFrame:
     }
     if require_success:
         rules["success"] = ~f["success"].eqNullSafe(True)
-    return reduce(DataFrame.unionByName, [*gone, *[_broken(foot, k, v) for k, v in rules.items()]])
+    return _broken(first, gone).unionByName(_broken(foot, list(rules.items())))
 
 
 def require_none(found: DataFrame) -> None:
