@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +43,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def relieved(run: Callable) -> Callable:
+    """run, a function over a task's batches, that gives freed memory back when the task is done: Python workers
+    live on between tasks and stages, and what one leaves with its allocators the next can't use."""
+
+    def inner(batches: Iterable) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return inner
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of a key are neighbours in one partition, for key_runs()."""
     return df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, table
+from lectern.llm.common import cut, relieved, table
 from lectern.llm.tokens import encoder, vocabulary
 
 SEQUENCE = 2048
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, path: str | None = None, size: int = SEQUENCE) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return whole.mapInArrow(cut_up, PIECES)
+    return whole.mapInArrow(relieved(cut_up), PIECES)
 
 
 def plan(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
@@ -154,7 +154,7 @@ def pack(cut_pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     order = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
     ranked = grouped.withColumn("n", F.row_number().over(order)).join(offsets.drop("n"), ["length", "part"])
     ranked = ranked.select(*[c.split()[0] for c in PIECES.split(", ")], (F.col("n") - 1 + F.col("ahead")).alias("rank"))
-    return ranked.mapInPandas(placed, PIECES + ", sequence_id long, offset long")
+    return ranked.mapInPandas(relieved(placed), PIECES + ", sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, path: str | None = None, size: int = SEQUENCE) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import table
+from lectern.llm.common import relieved, table
 from lectern.llm.tokens import vocabulary
 
 SPACE = "▁"
@@ -193,7 +193,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(x) for x in ids], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
-    return _whole(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return _whole(docs).mapInArrow(relieved(run), "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -213,7 +213,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in DIGEST.split(", ")])
 
-    return _whole(docs).mapInArrow(run, DIGEST)
+    return _whole(docs).mapInArrow(relieved(run), DIGEST)
 
 
 def _whole(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounds, dealt, key_runs, shared_dir
+from lectern.llm.common import bounds, dealt, key_runs, relieved, shared_dir
 
 #: Symbols that are looked at in one go; longer texts go on in the next, with a window's overlap.
 STRETCH = 1 << 22
@@ -197,10 +197,10 @@ def removed(docs: DataFrame, kind: Kind) -> DataFrame:
             kinds = [pa.int64()] * 4 + [pa.int32()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c.astype("int64"), k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in SPANS.split(", ")])
 
-    found = stored(texts.select("doc_id", "name", "text").mapInArrow(scan, SPANS))
+    found = stored(texts.select("doc_id", "name", "text").mapInArrow(relieved(scan), SPANS))
     keys = found.groupBy("key").agg(F.min("owner").alias("a"), F.max("owner").alias("b"), F.min("span").alias("s"), F.max("span").alias("t"))
     keys = keys.where("a <> b").select("key", (F.col("s") != F.col("t")).alias("differ"))
-    shared = stored(found.join(keys, "key"))
+    shared = stored(found.join(stored(keys), "key"))  # both sides are dealt out anew, so that Spark can split a hot key
     copies = shared.groupBy("key", "span").agg(F.min("owner").alias("least"), (F.min("owner") != F.max("owner")).alias("many"), F.min_by(F.struct("name", "at", "lo", "n"), "owner").alias("one"), F.first("differ").alias("differ"))
     copies = stored(copies.select("key", "span", "least", "many", "differ", "one.*"))
     alike = copies.where("NOT differ AND many").select("key", "span", F.lit(0).alias("a"), (F.col("n") - 1).alias("b"), "least")
@@ -234,18 +234,23 @@ def _sorted_spans(texts: DataFrame, copies: DataFrame, kind: Kind) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(flat[c][part] for c in fields), pa.array(units, pa.binary())], names=[*fields, "units"])
 
     wants = picked(texts.select("name", "text"), wanted).select("text", *[F.col(f"spans.{c}").alias(c) for c in [*fields, "lo"]])
-    rows = stored(wants.mapInArrow(cut_out, schema)).dropDuplicates(["key", "span"])
+    rows = stored(wants.mapInArrow(relieved(cut_out), schema)).dropDuplicates(["key", "span"])
     large = copies.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > SORTED).select("key")
 
     def sort(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in key_runs(batches, "key"):
-            of, index, least = repeated(group["key"].to_numpy().view("uint64"), group["at"].to_numpy("int64"), group["n"].to_numpy("int64"), group["least"].to_numpy("int64"), group["many"].to_numpy(bool), [kind.split(x) for x in group["units"]], kind)
-            if len(of):
-                of, a, b, least = runs(of, index, least)
-                yield pd.DataFrame({"key": group["key"].to_numpy()[of], "span": group["span"].to_numpy()[of], "a": a, "b": b, "least": least})
+            cuts = [0]
+            for edge in bounds(group["key"].to_numpy())[1:]:
+                if edge - cuts[-1] >= SORTED // 2 or edge == len(group):
+                    part = group.iloc[cuts[-1] : edge]
+                    cuts.append(edge)
+                    of, index, least = repeated(part["key"].to_numpy().view("uint64"), part["at"].to_numpy("int64"), part["n"].to_numpy("int64"), part["least"].to_numpy("int64"), part["many"].to_numpy(bool), [kind.split(x) for x in part["units"]], kind)
+                    if len(of):
+                        of, a, b, least = runs(of, index, least)
+                        yield pd.DataFrame({"key": part["key"].to_numpy()[of], "span": part["span"].to_numpy()[of], "a": a, "b": b, "least": least})
 
     schema = "key long, span long, a int, b int, least long"
-    few = dealt(rows.join(large, "key", "left_anti"), "key").mapInPandas(sort, schema)
+    few = dealt(rows.join(large, "key", "left_anti"), "key").mapInPandas(relieved(sort), schema)
 
     def windows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -260,7 +265,7 @@ def _sorted_spans(texts: DataFrame, copies: DataFrame, kind: Kind) -> DataFrame:
                 yield pd.DataFrame({"key": part["key"].to_numpy()[of], "h": named[0], "g": named[1], "span": part["span"].to_numpy()[of], "i": index, "least": part["least"].to_numpy()[of], "many": part["many"].to_numpy()[of]})
 
     # The same sort for keys with any number of spans: a row a window, grouped by its name.
-    each = rows.join(large, "key", "left_semi").mapInPandas(windows, "key long, h long, g long, span long, i int, least long, many boolean")
+    each = rows.join(large, "key", "left_semi").mapInPandas(relieved(windows), "key long, h long, g long, span long, i int, least long, many boolean")
     again = each.groupBy("key", "h", "g").agg(F.min("least").alias("low"), F.min("span").alias("s"), F.max("span").alias("t"), F.bool_or("many").alias("any")).where("s <> t OR any")
     lone = each.join(again, ["key", "h", "g"]).select("key", "span", F.col("i").alias("a"), F.col("i").alias("b"), F.col("low").alias("least"))
     return few.union(lone)

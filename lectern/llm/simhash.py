@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounds, components, cut, dealt, key_runs, table
+from lectern.llm.common import bounds, components, cut, dealt, key_runs, relieved, table
 
 SHINGLE = 4
 DISTANCE = 4
@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, *more: str) -> DataFrame
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *more, "fp"])
 
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, F.col("text").cast("binary").alias("text"))
-    return whole.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *more, "fp")))
+    return whole.mapInArrow(relieved(run), ", ".join(f"{c} long" for c in ("doc_id", *more, "fp")))
 
 
 class Ring:
@@ -60,8 +60,8 @@ class Ring:
 
     def __init__(self, distance: int = DISTANCE) -> None:
         self.distance, self.segments = distance, distance + 1
-        if not 1 <= distance <= 15:
-            raise ValueError("distance must be between 1 and 15")
+        if not 2 <= distance <= 15:
+            raise ValueError("distance must be between 2 and 15")
         edges = [round(64 * i / self.segments) for i in range(self.segments + 1)]
         self.lows, self.widths = edges[:-1], [b - a for a, b in zip(edges, edges[1:], strict=False)]
 
@@ -158,8 +158,8 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, "uint64"),) * 2
             yield pd.DataFrame({"a": a.view("int64"), "b": b.view("int64")}).query("a != b").drop_duplicates()
 
-    spread = fps.select("fp").mapInPandas(named, "name long, fp long, asks boolean")
-    return dealt(spread, "name").mapInPandas(compared, "a long, b long")
+    spread = fps.select("fp").mapInPandas(relieved(named), "name long, fp long, asks boolean")
+    return dealt(spread, "name").mapInPandas(relieved(compared), "a long, b long")
 
 
 def near_groups(docs: DataFrame, distance: int = DISTANCE, width: int = SHINGLE) -> DataFrame:

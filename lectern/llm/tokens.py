@@ -8,7 +8,7 @@ from array import array
 from collections.abc import Iterable
 
 #: Words whose ids a worker keeps. Reaching it, the worker starts anew.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 160_000
 #: Longer words are encoded each time, so that the cache stays small.
 CACHED_BYTES = 64
 

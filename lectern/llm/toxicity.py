@@ -13,17 +13,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import table
+from lectern.llm.common import relieved, table
 
 #: Labelled rows that a model is fitted on, at most; the rows whose hashed id comes first.
-SAMPLE = 20_000
+SAMPLE = 12_000
 BUCKETS = 1 << 20
 #: Buckets that tell the classes apart best and get a weight and factors.
 WIDTH = 1024
 FACTORS = 8
 STEPS = 300
 STRIPPED = bytes(b for b in range(128) if not chr(b).isalnum())
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -77,7 +77,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed: in
     if not 0 < labels[~kept].sum() < (~kept).sum():
         kept[:] = False
     lengths = np.array([len(r) for r in rows])
-    row, term = np.repeat(np.arange(n), lengths), np.concatenate([*rows, np.zeros(0, "int64")]).astype("int64")
+    row, term = np.repeat(np.arange(n, dtype="int32"), lengths), np.concatenate([*rows, np.zeros(0, "int32")]).astype("int32")
     mine = ~kept[row]
     y = labels[~kept].astype(float)
     hit = np.bincount(term[mine & (labels[row] == 1)], minlength=BUCKETS)
@@ -137,16 +137,16 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def terms(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Terms()
         for batch in batches:
-            sets = [np.fromiter(known.of(x or b""), "int64").tobytes() for x in batch["text"]]
+            sets = [np.fromiter(known.of(x or b""), "int32").tobytes() for x in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": sets})
 
     def learn(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = pd.concat([*batches, pd.DataFrame({"doc_id": [], "toxic": [], "terms": []})]).sort_values(["doc_id", "terms"])
-        model = fit([np.frombuffer(x, "int64") for x in found["terms"]], (found["toxic"].to_numpy() == 1).astype("int64"))
+        model = fit([np.frombuffer(x, "int32") for x in found["terms"]], (found["toxic"].to_numpy() == 1).astype("int64"))
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
-    rows = _whole(docs).join(F.broadcast(own), "doc_id").mapInPandas(terms, "doc_id long, toxic int, terms binary")
-    made = rows.repartition(1).mapInPandas(learn, "model binary").collect()
+    rows = _whole(docs).join(F.broadcast(own), "doc_id").mapInPandas(relieved(terms), "doc_id long, toxic int, terms binary")
+    made = rows.repartition(1).mapInPandas(relieved(learn), "model binary").collect()
     return pickle.loads(made[0]["model"]) if made else fit([], np.zeros(0, "int64"))
 
 
@@ -161,7 +161,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted"])
 
-    return _whole(docs).mapInArrow(run, "doc_id long, score double, predicted int")
+    return _whole(docs).mapInArrow(relieved(run), "doc_id long, score double, predicted int")
 
 
 def cleaned(docs: DataFrame, model: Model) -> DataFrame:
@@ -174,7 +174,7 @@ def cleaned(docs: DataFrame, model: Model) -> DataFrame:
             texts = ((x.as_py() or "").encode() for x in batch.column("text"))
             yield batch.filter(pa.array([own.score(known.of(x)) < 0.5 for x in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(relieved(run), docs.schema)
 
 
 def _whole(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounds, components, cut, dealt, key_runs, table
+from lectern.llm.common import bounds, components, cut, dealt, key_runs, relieved, table
 from lectern.llm.topk import usable
 
 COSINE = 0.95
@@ -103,7 +103,7 @@ def near(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             yield pd.DataFrame({"class": batch["class"], "n": batch["n"], "v": v, "codes": list(found)})
 
     kind = classes.schema["v"].dataType.simpleString()
-    coded = classes.mapInPandas(keyed, f"class long, n long, v {kind}, codes array<int>")
+    coded = classes.mapInPandas(relieved(keyed), f"class long, n long, v {kind}, codes array<int>")
     # A bucket's name holds the vector's length, so that vectors of other lengths don't meet.
     spread = cut(coded).select("class", "n", "v", "codes", F.posexplode("codes").alias("turn", "code"))
     spread = spread.withColumn("key", F.xxhash64("turn", "code", F.size("v")))
@@ -135,7 +135,7 @@ def near(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 a, b, links = (np.concatenate(x) for x in zip(*out, strict=True))
                 yield pd.DataFrame({"a": a, "b": b, "links": links})
 
-    found = cut(dealt(spread, "key").mapInPandas(compared, "a long, b long, links long"))
+    found = cut(dealt(spread, "key").mapInPandas(relieved(compared), "a long, b long, links long"))
     links = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     joined = components(found.where("b IS NOT NULL AND a <> b").select("a", "b"))
     named = classes.join(links, "class", "left").join(joined.select(F.col("node").alias("class"), "root"), "class", "left")
