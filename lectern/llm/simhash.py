@@ -20,20 +20,29 @@ SEED = 42
 SMALL = 64
 
 
-def fingerprint(text: bytes, width: int = SHINGLE) -> int:
-    """The SimHash of a whole text's word shingles: a bit is set if it is in over half of their XXH64 hashes."""
+def shingle_hashes(text: bytes, width: int = SHINGLE) -> np.ndarray:
+    """XXH64 of each shingle of a whole text's words in lower case, repeats included; of all words, if fewer."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()  # of bytes: A-Z and ASCII white space alone
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) > width else [b" ".join(words)]
-    hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), "<u8")
+    return np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), "<u8")
+
+
+def voted(hashes: np.ndarray) -> np.uint64:
+    """The number whose bits are set in over half of the hashes; 0 for none."""
     votes = np.zeros(64, "int64")
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]
         votes += np.unpackbits(part.view("uint8").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="uint32")
-    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0]
+
+
+def fingerprint(text: bytes, width: int = SHINGLE) -> int:
+    """The SimHash of a whole text's word shingles."""
+    return int(voted(shingle_hashes(text, width)))
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE, *more: str) -> DataFrame:
