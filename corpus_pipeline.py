@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import packing, pii, simhash, suffixes, toxicity
+from lectern.llm import packing, pii, shingles, suffixes, toxicity
 from lectern.llm.common import shared_dir, table
 
 
@@ -20,8 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that SimHash links join, the one with the smallest doc_id stays."""
-    return simhash.first_of_groups(docs)
+    """Of near copies (SimHash candidates, widened to five-word shingles of similarity 0.8), the one with the smallest
+    doc_id stays."""
+    return shingles.first_of_groups(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
