@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r\x1c-\x20\x{85}\p{Z}"
 WORD = rf"[^{SPACE}]+"
 
-#: Lower-case fragments of an error text after which another attempt is useless.
-PERMANENT = ["authentication failed", "permission denied", "repository not found", "access denied", "protected branch", "pre-receive hook declined"]
+# Lower-case fragments of a push's error text after which another attempt is useless.
+PERMANENT = [
+    "gh001:", "gh006:", "gh013:", "large files detected", "exceeds github's file size limit", "pre-receive hook declined", "protected branch hook declined", "remote rejected",
+    "permission denied", "authentication failed", "access denied", "write access to repository not granted", "requested url returned error: 401", "requested url returned error: 403",
+    "repository not found", "could not read from remote repository", "does not appear to be a git repository", "src refspec", "updates were rejected", "non-fast-forward",
+]
 # Manifest names that are public besides those ending in .sha.
 PUBLIC_NAMES = ["translations", "checksum", "books", "chapters", "checksum.json", "translations.json", "books.json", "chapters.json"]
 # XML's spellings of booleans.

@@ -121,3 +121,24 @@ def missing_targets(wanted: DataFrame, found: DataFrame, keys: list[str]) -> Dat
 def severity_buckets(rows: DataFrame, group: list[str], severity: Column, names: list[str]) -> DataFrame:
     """(group..., a column a name): counts, 0 where none."""
     return rows.withColumn("__s", severity).groupBy(*group).agg(*[F.count_if(F.col("__s") == n).alias(n) for n in names])
+
+
+def size_gate(roots: DataFrame, files: DataFrame, root: str, size: str, limit: int = MAX_FILE) -> DataFrame:
+    """(root, rule) of wanted roots that have no file, only empty ones, or one that reaches the limit."""
+    seen = files.groupBy(root).agg(F.count("*").alias("__n"), F.sum(size).alias("__sum"), F.max(size).alias("__max"))
+    rule = F.when(F.col("__n").isNull(), "missing").when(F.col("__sum") == 0, "empty").when(F.col("__max") >= limit, "size")
+    return roots.select(root).distinct().join(seen, root, "left").select(root, rule.alias("rule")).where("rule IS NOT NULL")
+
+
+def semantic_fields(schema: T.DataType, names: set[str] = frozenset({"paragraph", "paragraphs", "heading", "headings", "title", "titles"}), skip: set[str] = frozenset(BULKY)) -> list[str]:
+    """Paths of fields that tell of structure, by their letters and digits in lower case; bulky ones aren't entered."""
+    found = schema_paths(schema, {f for f in _names(schema) if "".join(c for c in f.lower() if c.isalnum()) in names}, skip)
+    return sorted(found)
+
+
+def _names(schema: T.DataType) -> set[str]:
+    if isinstance(schema, T.ArrayType):
+        return _names(schema.elementType)
+    if isinstance(schema, T.MapType):
+        return _names(schema.valueType)
+    return {n for f in schema.fields for n in {f.name, *_names(f.dataType)}} if isinstance(schema, T.StructType) else set()

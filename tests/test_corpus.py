@@ -90,3 +90,32 @@ def test_manifests_hash_the_final_bytes(made):
 
 def test_mixed_text():
     assert mixed_text("é".encode() + b"\x93\x81") == "é“\x81"
+
+
+def test_inspection(spark, made):
+    from lectern.plans import inspection
+
+    group = ["source", "nr", "chapter"]
+    wanted = spark.createDataFrame([("s", 1, 1), ("s", 1, 2)], "source string, nr long, chapter long")
+    got = {tuple(r) for r in inspection.violations(made.verses, made.editorial, wanted, made.chapters, group).collect()}
+    assert got == {("s", 1, 2, "missing chapter"), ("s", 40, 2, "no tokens")}
+    files = made.chapters.selectExpr("source AS root", "path", "length(body) AS size")
+    out = inspection.reports(made.verses, files, group)
+    assert [tuple(r) for r in out["tags"].collect()] == [("name", 1)]
+    assert {r["root"]: r["files"] for r in out["sizes"].collect()} == {"s": 2, None: 2}
+    assert out["representative"].where("nr = 1").first()["verse"] == 2
+    assert out["profiles"].where("nr = 40").first()["fields"] == "name,ordinal,text,verse"
+
+
+def test_gates(spark):
+    from pyspark.sql import functions as F
+
+    from lectern.functions.text import is_permanent_failure
+    from lectern.operators import quality
+
+    files = spark.createDataFrame([("a", 5), ("b", 0), ("c", 100)], "root string, size long")
+    roots = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "root string")
+    assert {tuple(r) for r in quality.size_gate(roots, files, "root", "size", 100).collect()} == {("b", "empty"), ("c", "size"), ("d", "missing")}
+    rows = spark.createDataFrame([("! [Remote Rejected] x",), ("timed out",)], "t string")
+    assert [r[0] for r in rows.select(is_permanent_failure(F.col("t"))).collect()] == [True, False]
+    assert quality.semantic_fields(spark.sql("SELECT struct(1 AS Head_ing, array(struct(1 AS titles)) AS x) AS a").schema) == ["a.Head_ing", "a.x[].titles"]
