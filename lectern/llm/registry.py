@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.llm import topk
+from lectern.llm import substrings, suffixes, topk
 from lectern.llm.packing import op5_best_fit_packing
 from lectern.llm.pieces import op6_sentencepiece
 from lectern.llm.pii import op4_pii
@@ -26,4 +26,4 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
-ORACLES = {"op1_exact_top_k": topk.ORACLE}
+ORACLES = {"op1_exact_top_k": topk.ORACLE, "op8_substring_dedup": substrings.ORACLE, "op10_suffix_array_dedup": suffixes.ORACLE}

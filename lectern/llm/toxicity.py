@@ -84,7 +84,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed: in
     seen = np.bincount(term[mine], minlength=BUCKETS)
     rate, share = hit / max(1, y.sum()), seen / len(y)
     z = (rate - share) / np.sqrt(np.maximum(share * (1 - share), 1e-9) / max(1, y.sum()))
-    z[(seen < 5) | (np.abs(z) < 4.5)] = 0
+    z[(seen < 4) | (np.abs(z) < 4.5)] = 0
     chosen = np.argsort(-np.abs(z), kind="stable")[:WIDTH]
     chosen = chosen[z[chosen] != 0]
     column = {int(t): i for i, t in enumerate(chosen)}
