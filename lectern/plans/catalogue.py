@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lectern.functions import codec
 from lectern.functions import text as tx
 from lectern.functions.markup import markup
 from lectern.operators import layout, lookups, manifest, nesting, quality, sequences
+from lectern.plans import corpus
 from lectern.session import table
+from lectern.sources import contract
 
 #: White space and words as both engines' patterns spell them.
 SP, WD = r"\t-\r\x1c-\x20\x{85}\p{Z}", r"[^\t-\r\x1c-\x20\x{85}\p{Z}]+"
@@ -504,3 +507,70 @@ def page_parse_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages aren't XML fragments: none can be read, which is what the markup functions are to say of them."""
     rows = table(spark, sf_dir, "pages").select(markup(F.col("html"), F.lit(None)).alias("m"))
     return rows.agg(F.count("*").alias("pages"), F.count("m.plain").alias("readable"))
+
+
+def _log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, content) of four event logs made of the conversations: a book each, their turns as verses."""
+
+    def value(c):  # noqa: ANN001, ANN202
+        return F.struct(F.regexp_replace(F.base64(c.cast("binary")), "\\s", "").alias("base64"), F.lit("base64").alias("encoding"), F.sha2(c.cast("binary"), 256).alias("sha256"), F.octet_length(c).cast("bigint").alias("size"), c.alias("utf8"))
+
+    code = lambda name: F.struct(F.lit(1).alias("code"), F.lit(name).alias("name"))
+    fixed = lambda **facts: F.to_json(F.struct(*[(v if not isinstance(v, str | int) else F.lit(v)).alias(k) for k, v in facts.items()]))
+    source = F.concat(F.lit("s"), (F.col("conv_id") % 4).cast("string"))
+    turns = table(spark, sf_dir, "conversations").withColumn("source", source)
+    turns = turns.withColumn("ordinal", F.row_number().over(Window.partitionBy("source").orderBy("conv_id", "turn")).cast("bigint") - 1)
+    scope = F.struct(
+        F.lit("verse_key").alias("type"), F.lit("verse").alias("intro_scope"), F.lit(1).alias("testament"), (F.col("conv_id") + 1).alias("book"), F.lit(1).alias("chapter"),
+        (F.col("turn") + 1).alias("verse"), value(F.concat(F.lit("Conv "), F.col("conv_id").cast("string"))).alias("book_name"),
+    )
+    raw = F.concat(F.lit('<w lemma="r:'), "role", F.lit('">'), "role", F.lit("</w>"))
+    entry = fixed(type="entry", sequence=F.col("ordinal") + 2, ordinal=F.col("ordinal"), key=value(F.lit("k")), scope=scope, raw=value(raw), rendered_default=value(F.lit("")), stripped=value(F.concat(F.lit("\n"), "text")))
+    entries = turns.select("source", (F.col("ordinal") + 2).alias("n"), entry.alias("line"))
+    sources = turns.select("source").distinct()
+    header = sources.select("source", F.lit(0).cast("bigint").alias("n"), fixed(type="header", sequence=0, contract="log", contract_version=1, command="extract", producer="p", producer_version="1", sword_version="1").alias("line"))
+    facts = {k: value(F.lit(v)) for k, v in (("description", "d"), ("language", "en"), ("driver", "r"))}
+    module = sources.select("source", F.lit(1).cast("bigint").alias("n"), fixed(type="module", sequence=1, classification="bible", name=value(F.upper("source")), **facts, direction=code("ltr"), encoding=code("UTF-8"), markup=code("OSIS")).alias("line"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
+    bodies = header.union(module).union(entries).groupBy("source").agg(F.count("*").alias("n"), F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("body"))
+    counts = F.struct(F.lit(1).alias("header"), F.lit(1).alias("module"), (F.col("n") - 2).alias("entry"))
+    footer = fixed(type="footer", sequence=F.col("n"), counts=counts, entries=F.col("n") - 2, artifacts=0, artifact_bytes=0, success=F.lit(True), stream_sha256=F.sha2(F.col("body").cast("binary"), 256))
+    return bodies.select("source", F.concat("body", footer, F.lit("\n")).cast("binary").alias("content"))
+
+
+@query("""
+SELECT 's' || (conv_id % 4) AS source, conv_id + 1 AS nr, turn + 1 AS verse, 'Conv ' || conv_id || ' 1:' || (turn + 1) AS name, ltrim(text, chr(10) || chr(13)) AS text, role AS token, role AS lemma FROM conversations
+""")
+def corpus_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verses of the corpus built from event logs, with their tokens."""
+    kinds = {"modules": "module string, abbr string", "titles": "abbr string, title string", "numbers": "source_name string, nr int", "names": "source_name string, name string", "overrides": "abbr string, nr int, name string"}
+    dims = {k: spark.createDataFrame([], kinds.get(k, "code string, value string")) for k in (*kinds, "corrections", "languages", "directions")}
+    verses = corpus.build(contract.lines(_log_files(spark, sf_dir)), dims).verses
+    token = F.col("tokens")[0]
+    return verses.select("source", "nr", "verse", "name", "text", token["token"].alias("token"), token["lemma"]["r"][0].alias("lemma"))
+
+
+@query("""
+SELECT * FROM (VALUES ('s0', 'entries'), ('s1', 'sequence'), ('s1', 'stream sha256'), ('s2', 'line end'), ('s2', 'line end'), ('s2', 'stream sha256'), ('s2', 'success')) AS v(source, rule)
+""")
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken rules of the same logs after one thing is changed in each of three: the footer's count of entries, a
+    sequence number, and line ends and success of the last two lines."""
+    text, source = F.col("content").cast("string"), F.col("source")
+    ends = F.regexp_replace(F.regexp_replace(text, r"\n([^\n]*)\n$", "\r\n$1\r\n"), '"success":true', '"success":false')
+    content = (
+        F.when(source == "s0", F.regexp_replace(text, r'"entries":\d+,', '"entries":0,'))
+        .when(source == "s1", F.replace(text, F.lit('"sequence":1,'), F.lit('"sequence":7,')))
+        .when(source == "s2", ends)
+        .otherwise(text)
+    )
+    files = _log_files(spark, sf_dir).select("source", content.cast("binary").alias("content"))
+    return contract.violations(contract.lines(files)).where("rule <> 'record counts'").select("source", "rule")
+
+
+@query("SELECT doc_id, sha256(text) AS h FROM documents")
+def text_mixed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as UTF-8 with each third re-encoded in Latin-1 where it fits: the same text comes back of most."""
+    docs = table(spark, sf_dir, "documents")
+    single = F.when((F.col("doc_id") % 3 == 0) & F.col("text").rlike(r"^[\x00-\x7e\xa0-\xff]*$") & ~F.col("text").rlike(r"[\xc2-\xf4][\x80-\xbf]"), F.encode("text", "ISO-8859-1"))
+    return docs.select("doc_id", F.sha2(codec.mixed_decode(F.coalesce(single, F.col("text").cast("binary"))).cast("binary"), 256).alias("h"))
