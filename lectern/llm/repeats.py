@@ -44,10 +44,10 @@ class Powers:
 
     def __init__(self, base: np.uint64) -> None:
         self.base, self.inverse = base, np.uint64(pow(int(base), -1, 1 << 64))
-        self.of(1 << 12)
+        self.up = self.down = np.ones(1, "uint64")
 
     def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if not hasattr(self, "up") or len(self.up) < n:
+        if len(self.up) < n:
             size = max(n, 1 << 12)
             self.up, self.down = (np.concatenate([np.ones(1, "uint64"), np.cumprod(np.full(size, b, "uint64"))]) for b in (self.base, self.inverse))
         return self.up[:n], self.down[:n]

@@ -94,7 +94,7 @@ def counted(docs: DataFrame, path: str | None = None, version: str = "word_bpe_4
         for batch in batches:
             texts = [x.as_py() or b"" for x in batch.column("text")]
             n = [len(ids) // 4 for ids in encode(texts)] + [len(x.split()) for x in texts]
-            twice = pa.concat_batches([batch, batch]) if hasattr(pa, "concat_batches") else pa.Table.from_batches([batch, batch]).combine_chunks().to_batches()[0]
+            twice = pa.concat_batches([batch, batch])
             names = pa.array([version] * len(texts) + ["words"] * len(texts), pa.string())
             columns = [*(twice.column(c) for c in ("doc_id", "source", "lang")), names, pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "source", "lang", "tokenizer", "tokens"])
