@@ -43,11 +43,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def relieved(run: Callable) -> Callable:
-    """run, a function over a task's batches, that gives freed memory back when the task is done: Python workers
-    live on between tasks and stages, and what one leaves with its allocators the next can't use."""
+#: How to drop what a worker keeps between tasks, by name.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def relieved(run: Callable, *keeps: str) -> Callable:
+    """run, a function over a task's batches, that drops what other operators keep in the worker, but for the names in
+    keeps, and gives freed memory back when the task is done: Python workers live on between tasks and stages."""
 
     def inner(batches: Iterable) -> Iterator:
+        from lectern.llm import common  # the worker's own, as this function travels by value
+
+        for name, drop in common.KEPT.items():
+            if name not in keeps:
+                drop()
         yield from run(batches)
         gc.collect()
         pa.default_memory_pool().release_unused()

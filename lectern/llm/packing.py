@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, path: str | None = None, size: int = SEQUENCE) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return whole.mapInArrow(relieved(cut_up), PIECES)
+    return whole.mapInArrow(relieved(cut_up, "tokens"), PIECES)
 
 
 def plan(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:

@@ -100,7 +100,7 @@ def counted(docs: DataFrame, path: str | None = None, version: str = "word_bpe_4
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "source", "lang", "tokenizer", "tokens"])
 
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.col("text").cast("binary").alias("text"))
-    return whole.mapInArrow(relieved(run), "doc_id long, source string, lang string, tokenizer string, tokens long")
+    return whole.mapInArrow(relieved(run, "tokens"), "doc_id long, source string, lang string, tokenizer string, tokens long")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

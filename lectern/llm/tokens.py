@@ -7,8 +7,10 @@ import re
 from array import array
 from collections.abc import Iterable
 
+from lectern.llm.common import KEPT
+
 #: Words whose ids a worker keeps. Reaching it, the worker starts anew.
-CACHED_WORDS = 160_000
+CACHED_WORDS = 400_000
 #: Longer words are encoded each time, so that the cache stays small.
 CACHED_BYTES = 64
 
@@ -76,6 +78,7 @@ class WordEncoder:
 
 #: One encoder a worker, by path.
 _encoders: dict[str, WordEncoder] = {}
+KEPT["tokens"] = _encoders.clear
 
 
 def encoder(path: str) -> WordEncoder:
