@@ -238,3 +238,14 @@ def test_personal_data_runs_no_python(spark):
     rows = pii.digests(spark.createDataFrame([(1, "a")], "doc_id long, text string"), pii.Trees([], [2.0] * 4))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_personal_data_is_searched_whatever_else_a_text_has(spark):
+    from pyspark.sql import functions as F
+
+    base = spark.createDataFrame([(1, "+1 - 2 - 3 - 4 - 5 - 6 - 7 - 8 - 9")], "doc_id long, text string")
+    assert pii.digests(base, pii.Trees([], [2.0] * 4)).first()["n_phone"] == 1
+    wanted = {"john at example.com": [0], "john AT example dot com": [0], "john[at]example [dot] com": [0], "8[.]8[.]8[.]8": [1], "8 . 8 . 8 . 8": [1], "1234_5678_9012_3456": [2], "(30) 1234567": [3], "at 8": []}
+    frame = spark.createDataFrame([(t,) for t in wanted], "text string")
+    got = {r["text"]: r["ranks"] for r in frame.select("text", F.transform(pii.generated(F.col("text")), lambda m: m["rank"]).alias("ranks")).collect()}
+    assert got == wanted
