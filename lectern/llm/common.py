@@ -34,6 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder now, and goes on from there; the files go with the DataFrame."""
     sc = df.sparkSession.sparkContext

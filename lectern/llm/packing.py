@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import cut, relieved, table
-from lectern.llm.tokens import encoder, vocabulary
+from lectern.llm.tokens import CACHED_WORDS, encoder, vocabulary
 
 SEQUENCE = 2048
 END_ID = 0
@@ -23,13 +23,14 @@ RANKED = 250_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, path: str | None = None, size: int = SEQUENCE) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, size: int = SEQUENCE, cached: int = CACHED_WORDS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each document's ids and end id, cut at every size ids.
-    A null or empty text has the end id alone; rows repeated in docs are packed each."""
+    A null or empty text has the end id alone; rows repeated in docs are packed each. cached: words whose ids a
+    worker keeps (about 400 bytes each at most)."""
     path = path or vocabulary()
 
     def cut_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, END_ID.to_bytes(4, "little")
+        encode, end = encoder(path, cached).encode, END_ID.to_bytes(4, "little")
         for batch in batches:
             texts = (x.as_py() or b"" for x in batch.column("text"))
             out: tuple[list, ...] = ([], [], [], [], [])
@@ -157,8 +158,8 @@ def pack(cut_pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     return ranked.mapInPandas(relieved(placed), PIECES + ", sequence_id long, offset long")
 
 
-def packed(docs: DataFrame, path: str | None = None, size: int = SEQUENCE) -> DataFrame:
-    return pack(cut(pieces(docs, path, size)), size)
+def packed(docs: DataFrame, path: str | None = None, size: int = SEQUENCE, cached: int = CACHED_WORDS) -> DataFrame:
+    return pack(cut(pieces(docs, path, size, cached)), size)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

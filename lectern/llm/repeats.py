@@ -1,10 +1,12 @@
-"""Windows of a fixed length that occur more than once, found exactly without a row for each window.
+"""Depth-limited radix sort of suffixes, as far as windows of a fixed length can tell them apart.
 
-Both substring operators share this plan. Every window has one anchor: a place that the window's own content
-picks, so that equal windows have their anchors at equal offsets. Neighbouring windows mostly share one, and a
-row stands for such a span of windows. Spans meet by the content around the anchor (key); where all spans of a
-key are the same, the windows in them are repeats at once. Otherwise one copy of each different span is cut
-out of its text and its windows are sorted by passes over their content."""
+A row for each suffix would be many times the corpus. Every window has one anchor: a place that the window's own
+content picks, so that equal windows have their anchors at equal offsets. Neighbouring windows mostly share one, and
+a row stands for such a stretch of suffixes. The first pass deals stretches out by the content around the anchor
+(key). Equal stretches are one from then on, and if a key has no other, all its windows repeat. Where a key has
+different ones, the suffixes at their anchors, and what stands before them read backwards, are sorted by
+most-significant-digit passes over their content, down to the window's length and no further; the windows whose two
+sides are in equal groups at their depths are the repeats."""
 
 from __future__ import annotations
 
@@ -18,16 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounds, dealt, key_runs, relieved, shared_dir
+from lectern.llm.common import bounds, cut, dealt, key_runs, relieved, shared_dir
 
 #: Symbols that are looked at in one go; longer texts go on in the next, with a window's overlap.
 STRETCH = 1 << 22
-#: Different spans of a key that a task sorts; keys with more are sorted by Spark, window by window.
-SORTED = 4_000
+#: Different stretches of a key that a task sorts; keys with more are dealt out by further passes first.
+SORTED = 1_000
+#: By how many places windows of a range start apart in these passes, at most. In the last, equal windows alone meet.
+FINER = (16, 1)
 #: Ids that are broadcast at most, to read the texts of some documents alone; more are joined by a shuffle.
 NAMED = 1_000_000
 
 SPANS = "key long, span long, name long, owner long, at int, lo int, n int"
+STRETCHES = "key long, span long, least long, many boolean, at int, n int, units binary"
 #: Odd, and 3 modulo 8, so that their powers repeat as late as can be.
 _BASES = (np.uint64(0x9E3779B97F4A7C1B), np.uint64(0xD6E8FEB86659FD93))
 
@@ -83,6 +88,8 @@ class Kind:
     symbols: Callable
     picks: Callable
     joined: Callable
+    digits: Callable  # from cuts of units and a length to a row of 64-bit digits for each cut, zeros after its end
+    per: int  # units of a digit
     first_stays: bool  # whether windows stay in the document with the smallest id
 
 
@@ -116,44 +123,84 @@ def spans(units: object, kind: Kind) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def repeated(keys: np.ndarray, ats: np.ndarray, counts: np.ndarray, owners: np.ndarray, many: np.ndarray, cut_out: list, kind: Kind) -> tuple[np.ndarray, ...]:
-    """(span's position, window in it, least owner) of the windows that occur more than once, or in a span that does.
-
-    A most-significant-digit sort: all windows start in the group of their key and offset; each pass names a
-    quarter of the window (the digit) and splits the groups by it, and windows that are left alone drop out."""
-    w = kind.window
-    symbols = np.concatenate([kind.symbols(x) for x in cut_out])
-    starts = np.concatenate([[0], np.cumsum([len(x) for x in cut_out])[:-1]])
-    names = Named(symbols, 1)
-    of = np.repeat(np.arange(len(counts)), counts)
-    index = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
-    place, group = starts[of] + index, mix(keys[of] ^ mix((ats[of] - index).astype("uint64")))
-    digits = [round(w * i / 4) for i in range(5)]
-    for a, b in zip(digits, digits[1:], strict=False):
-        group = mix(group * np.uint64(3) + names.of(place + a, place + b))
-        order = np.argsort(group, kind="stable")
-        edges = bounds(group[order])
-        size = np.diff(edges)
-        kept = np.sort(order[np.repeat(size > 1, size) | many[of[order]]])
-        of, index, place, group = of[kept], index[kept], place[kept], group[kept]
-        if not len(of):
-            break
-    if not len(of):
-        return of, index, owners[:0]
-    order = np.argsort(group, kind="stable")
-    edges = bounds(group[order])
-    least = np.repeat(np.minimum.reduceat(owners[of[order]], edges[:-1]), np.diff(edges))
-    return of[order], index[order], least
+def ordered(digits: np.ndarray, group: np.ndarray, per: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, shared): rows of digits sorted within their groups by most-significant-digit passes, and how many units
+    each row in that order has in common with the one before it (0 where a group starts). A digit holds per units.
 
-
-def runs(of: np.ndarray, index: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(position, first window, last window, least owner) of neighbours that are alike."""
-    order = np.lexsort((index, of))
-    of, index, least = of[order], index[order], least[order]
-    new = np.concatenate([[True], (of[1:] != of[:-1]) | (index[1:] != index[:-1] + 1) | (least[1:] != least[:-1])])
-    begin = np.flatnonzero(new)
-    end = np.concatenate([begin[1:], [len(of)]]) - 1
-    return of[begin], index[begin], index[end], least[begin]
+    Each pass sorts the groups that are left by their next digit and splits them where it changes; a row that is
+    alone in its group is in its place and takes no further part."""
+    order = np.argsort(group, kind="stable")
+    start = np.concatenate([[True], group[order][1:] != group[order][:-1], [True]])
+    shared = np.where(start[:-1], 0, digits.shape[1] * per)
+    left = np.flatnonzero(~(start[:-1] & start[1:]))
+    for turn in range(digits.shape[1]):
+        if not len(left):
+            break
+        digit, own = digits[order[left], turn], np.cumsum(start[left])
+        turned = np.lexsort((digit, own))
+        order[left], digit = order[left][turned], digit[turned]
+        new = np.flatnonzero((digit[1:] != digit[:-1]) & ~start[left][1:]) + 1
+        start[left[new]] = True
+        differ = (digit[new] ^ digit[new - 1]).astype(">u8").view("uint8").reshape(-1, 8)
+        shared[left[new]] = turn * per + np.argmax(differ != 0, axis=1) * per // 8
+        left = left[~(start[left] & start[left + 1])]
+    return order, shared
+
+
+def classes(order: np.ndarray, shared: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """For each depth, a number for each row: rows have the same if their first depth units are equal."""
+    out = np.empty((len(depths), len(order)), "int64")
+    out[:, order] = np.cumsum(shared[None, :] < depths[:, None], axis=1)
+    return out
+
+
+def alike(at: np.ndarray, n: np.ndarray, least: np.ndarray, many: np.ndarray, ahead: tuple[np.ndarray, np.ndarray], back: tuple[np.ndarray, np.ndarray], window: int) -> list[tuple[int, int, int, int]]:
+    """(row, first window, last window, least owner) of the windows that occur more than once, or in a stretch that
+    does, among stretches that share an anchor.
+
+    ahead and back are what ordered() says of the suffixes that start at the anchors, and of what stands before them
+    read backwards. The windows that start a units before their anchor are equal where the suffixes are in one class
+    at depth window - a and the reversed beginnings in one class at depth a. Both change only at some values of a, so
+    one grouping stands for all a between two of them."""
+    low, high, m = at - n + 1, at, len(at)
+    edges = np.unique(np.concatenate([low, high + 1, ahead[1] * -1 + window, back[1] + 1]))
+    edges = edges[(edges >= low.min()) & (edges <= high.max() + 1)]
+    first, last = edges[:-1], edges[1:] - 1
+    there = (low[None, :] <= first[:, None]) & (high[None, :] >= last[:, None])
+    names = classes(*ahead, window - first) * (m + 1) + classes(*back, first) + np.arange(len(first))[:, None] * (m + 1) ** 2
+    part, row = np.nonzero(there)
+    _, of = np.unique(names[part, row], return_inverse=True)
+    size = np.bincount(of, 1 + many[row])  # a stretch that occurs more than once counts twice
+    small = np.full(len(size), np.iinfo("int64").max)
+    np.minimum.at(small, of, least[row])
+    hit = size[of] > 1
+    part, row, small = part[hit], row[hit], small[of[hit]]
+    turned = np.lexsort((-part, row))  # windows in order: the first has the largest a
+    part, row, small = part[turned], row[turned], small[turned]
+    begin, end = at[row] - last[part], at[row] - first[part]
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (begin[1:] != end[:-1] + 1) | (small[1:] != small[:-1])])[: len(row)]
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(row))[: len(starts)] - 1
+    return list(zip(row[starts].tolist(), begin[starts].tolist(), end[ends].tolist(), small[starts].tolist(), strict=True))
+
+
+def sorted_windows(part: pd.DataFrame, kind: Kind) -> pd.DataFrame:
+    """(key, span, a, b, least) of the windows a to b that repeat, of stretches (key, span, least, many, at, n, units)
+    in the order of key: all of a key are there."""
+    texts, at = [kind.split(x) for x in part["units"]], part["at"].to_numpy("int64")
+    wide = kind.window - kind.margin
+    keys, n, least, many = part["key"].to_numpy(), part["n"].to_numpy("int64"), part["least"].to_numpy("int64"), part["many"].to_numpy(bool)
+    edges = bounds(keys)
+    group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    sides = []
+    for cuts in ([x[a : a + wide] for x, a in zip(texts, at, strict=True)], [x[max(0, a - wide) : a][::-1] for x, a in zip(texts, at, strict=True)]):
+        sides.append(ordered(kind.digits(cuts, wide), group, kind.per))
+    rows = []
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        ahead, back = ((order[lo:hi] - lo, shared[lo:hi]) for order, shared in sides)
+        rows += [(k + lo, a, b, x) for k, a, b, x in alike(at[lo:hi], n[lo:hi], least[lo:hi], many[lo:hi], ahead, back, kind.window)]
+    of, a, b, small = (np.array(x, "int64") for x in zip(*rows, strict=True)) if rows else (np.zeros(0, "int64"),) * 4
+    return pd.DataFrame({"key": keys[of], "span": part["span"].to_numpy()[of], "a": a, "b": b, "least": small})
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -216,7 +263,6 @@ def _sorted_spans(texts: DataFrame, copies: DataFrame, kind: Kind) -> DataFrame:
     """(key, span, a, b, least) of the windows a to b of spans that repeat, for keys with different spans."""
     wanted = copies.groupBy("name").agg(F.collect_list(F.struct("key", "span", "least", "many", "at", "lo", "n")).alias("spans"))
     fields = ["key", "span", "least", "many", "at", "n"]
-    schema = "key long, span long, least long, many boolean, at int, n int, units binary"
 
     def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,41 +280,53 @@ def _sorted_spans(texts: DataFrame, copies: DataFrame, kind: Kind) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(flat[c][part] for c in fields), pa.array(units, pa.binary())], names=[*fields, "units"])
 
     wants = picked(texts.select("name", "text"), wanted).select("text", *[F.col(f"spans.{c}").alias(c) for c in [*fields, "lo"]])
-    rows = stored(wants.mapInArrow(relieved(cut_out), schema)).dropDuplicates(["key", "span"])
-    large = copies.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > SORTED).select("key")
+    rows = stored(stored(wants.mapInArrow(relieved(cut_out), STRETCHES)).dropDuplicates(["key", "span"]))
+    return _passes(rows, kind, [w for w in FINER if w < kind.window // 4])
+
+
+def _passes(rows: DataFrame, kind: Kind, finer: list[int]) -> DataFrame:
+    """sorted_windows() of stretches (STRETCHES, a row a key and span). A key with over SORTED of them gets another
+    pass first: its windows are dealt out by how far they start before the anchor, in ranges of finer[0], and by the
+    content that all windows of a range have in common; stretches that are equal then are one."""
 
     def sort(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in key_runs(batches, "key"):
-            cuts = [0]
-            for edge in bounds(group["key"].to_numpy())[1:]:
-                if edge - cuts[-1] >= SORTED // 2 or edge == len(group):
-                    part = group.iloc[cuts[-1] : edge]
-                    cuts.append(edge)
-                    of, index, least = repeated(part["key"].to_numpy().view("uint64"), part["at"].to_numpy("int64"), part["n"].to_numpy("int64"), part["least"].to_numpy("int64"), part["many"].to_numpy(bool), [kind.split(x) for x in part["units"]], kind)
-                    if len(of):
-                        of, a, b, least = runs(of, index, least)
-                        yield pd.DataFrame({"key": part["key"].to_numpy()[of], "span": part["span"].to_numpy()[of], "a": a, "b": b, "least": least})
+            cuts, edges = 0, bounds(group["key"].to_numpy())[1:]
+            for edge in edges:
+                if edge - cuts >= SORTED or edge == len(group):
+                    yield sorted_windows(group.iloc[cuts:edge], kind)
+                    cuts = edge
 
     schema = "key long, span long, a int, b int, least long"
+    large = rows.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > SORTED).select("key")
+    large = cut(large) if finer else large
+    if not finer or not large.head(1):
+        return dealt(rows, "key").mapInPandas(relieved(sort), schema)
     few = dealt(rows.join(large, "key", "left_anti"), "key").mapInPandas(relieved(sort), schema)
+    wide, window = finer[0], kind.window
 
-    def windows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.iloc[k : k + 500]
-                units = [kind.split(x) for x in part["units"]]
-                symbols, n = np.concatenate([kind.symbols(x) for x in units]), part["n"].to_numpy("int64")
-                of = np.repeat(np.arange(len(n)), n)
-                index = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                start = np.concatenate([[0], np.cumsum([len(x) for x in units])[:-1]])[of] + index
-                named = [Named(symbols, i).of(start, start + kind.window).view("int64") for i in (0, 1)]
-                yield pd.DataFrame({"key": part["key"].to_numpy()[of], "h": named[0], "g": named[1], "span": part["span"].to_numpy()[of], "i": index, "least": part["least"].to_numpy()[of], "many": part["many"].to_numpy()[of]})
-
-    # The same sort for keys with any number of spans: a row a window, grouped by its name.
-    each = rows.join(large, "key", "left_semi").mapInPandas(relieved(windows), "key long, h long, g long, span long, i int, least long, many boolean")
-    again = each.groupBy("key", "h", "g").agg(F.min("least").alias("low"), F.min("span").alias("s"), F.max("span").alias("t"), F.bool_or("many").alias("any")).where("s <> t OR any")
-    lone = each.join(again, ["key", "h", "g"]).select("key", "span", F.col("i").alias("a"), F.col("i").alias("b"), F.col("low").alias("least"))
-    return few.union(lone)
+            for k in range(0, len(batch), 200):
+                out = []
+                for r in batch.iloc[k : k + 200].itertuples(index=False):
+                    units, i = kind.split(r.units), 0
+                    one, two = (Named(kind.symbols(units), x) for x in (0, 1))
+                    while i < r.n:  # windows i to j - 1 start a = at - i units or less before the anchor, in one range
+                        band = (r.at - i) // wide
+                        j = min(r.n, r.at - band * wide + 1)
+                        ends = [np.array([x]) for x in (r.at - band * wide, r.at - (band + 1) * wide + 1 + window, i, j - 1 + window)]
+                        key = mix(one.of(*ends[:2]) ^ mix(np.array([r.key & (1 << 64) - 1, band], "uint64")).sum())
+                        span = mix(two.of(*ends[2:]) ^ mix(np.array([(r.at - i) << 32 | (j - i)], "uint64")))
+                        out.append((key.view("int64")[0], span.view("int64")[0], r.least, r.many, r.at - i, j - i, kind.joined(units[i : j - 1 + window]), r.key, r.span, i))
+                        i = j
+                yield pd.DataFrame(out, columns=[*(c.split()[0] for c in STRETCHES.split(", ")), "old_key", "old_span", "i"])
+
+    parts = stored(rows.join(large, "key").mapInPandas(relieved(deal), STRETCHES + ", old_key long, old_span long, i int"))
+    one = F.min_by(F.struct("at", "n", "units"), "old_span").alias("one")
+    merged_parts = stored(parts.groupBy("key", "span").agg(F.min("least").alias("least"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"), one).select("key", "span", "least", "many", "one.*"))
+    found = _passes(merged_parts, kind, finer[1:]).join(parts.select("key", "span", "old_key", "old_span", "i"), ["key", "span"])
+    return few.union(found.select(F.col("old_key").alias("key"), F.col("old_span").alias("span"), (F.col("a") + F.col("i")).alias("a"), (F.col("b") + F.col("i")).alias("b"), "least"))
 
 
 def merged(runs: Iterable) -> list[tuple[int, int]]:
@@ -282,8 +340,8 @@ def merged(runs: Iterable) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def kept(units: object, gone: list[tuple[int, int]], kind: Kind) -> bytes:
+def kept(units: object, gone: list[tuple[int, int]], joined: Callable) -> bytes:
     """The text without the runs."""
     starts, ends = [0, *(b for _, b in gone)], [*(a for a, _ in gone), len(units)]
     parts = [units[a:b] for a, b in zip(starts, ends, strict=True) if a < b]
-    return kind.joined([x for p in parts for x in p] if isinstance(units, list) else b"".join(parts))
+    return joined([x for p in parts for x in p] if isinstance(units, list) else b"".join(parts))

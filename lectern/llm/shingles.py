@@ -12,12 +12,12 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import bounds, components, cut, dealt, key_runs, relieved
 from lectern.llm.repeats import mix, named, picked, stored
-from lectern.llm.simhash import DISTANCE, links, shingle_hashes, voted
+from lectern.llm.simhash import DISTANCE, links, one_each, shingle_hashes, voted
 
 WIDTH, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares a band of three minima with probability 0.51, and one of twelve with 0.9998.
@@ -206,8 +206,5 @@ def first_of_groups(docs: DataFrame, similarity: float = SIMILARITY, width: int
     """docs with one row of each class of similar_classes: the one with the smallest doc_id (of equals, the smallest
     hash of id and text; of rows repeated whole, any). A row without a doc_id stays if its class has no other."""
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "name")
-    first = cut(similar_classes(docs, similarity, width).groupBy("class").agg(F.min_by("name", order).alias("__name")).select("__name"))
-    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    left = docs.withColumn("__name", F.xxhash64(F.col("doc_id").cast("long"), F.length(text), text)).join(first, "__name")
-    turn = F.row_number().over(Window.partitionBy("__name").orderBy("__name"))
-    return left.withColumn("__turn", turn).where("__turn = 1").select(*docs.columns)
+    first = cut(similar_classes(docs, similarity, width).groupBy("class").agg(F.min_by("name", order).alias("name")).select("name"))
+    return one_each(docs, first)

@@ -8,10 +8,10 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounds, components, cut, dealt, key_runs, relieved, table
+from lectern.llm.common import bounds, components, cut, dealt, key_runs, relieved, spare, table
 
 SHINGLE = 4
 DISTANCE = 4
@@ -189,17 +189,23 @@ def _components(rows: DataFrame, distance: int) -> DataFrame:
     return grouped.join(smallest, "root").select("fp", "root", "component_id")
 
 
+def one_each(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """One row of docs for each name (of repeats.named) in first (name); of rows repeated whole, any."""
+    name = spare(docs, "name")
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    left = docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.length(text), text)).join(first.select(F.col("name").alias(name)), name)
+    return left.dropDuplicates([name]).select(*docs.columns)
+
+
 def first_of_groups(docs: DataFrame, distance: int = DISTANCE, width: int = SHINGLE) -> DataFrame:
     """docs with one row of each group of near copies: the one with the smallest doc_id (of equals, the smallest
-    hash of id and text; of rows repeated whole, any). A row without a doc_id stays if its group has no other."""
+    hash of id and text; of rows repeated whole, any). A row without a doc_id stays if its group has no other.
+    Other columns pass, whatever their names."""
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    named = docs.withColumn("__name", F.xxhash64(F.col("doc_id").cast("long"), F.length(text), text))
-    rows = cut(fingerprints(named, width, "__name"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__name")
-    first = rows.join(_components(rows, distance), "fp").groupBy("root").agg(F.min_by("__name", order).alias("__name"))
-    left = named.join(first.select("__name"), "__name")
-    turn = F.row_number().over(Window.partitionBy("__name").orderBy("__name"))
-    return left.withColumn("__turn", turn).where("__turn = 1").select(*docs.columns)
+    named = docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("long"), F.length(text), text).alias("name"))
+    rows = cut(fingerprints(named, width, "name"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "name")
+    return one_each(docs, rows.join(_components(rows, distance), "fp").groupBy("root").agg(F.min_by("name", order).alias("name")))
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,8 @@ class WordEncoder:
     from signs and folds case, so a word of plain letters is found without its case and the signs after it,
     and merged by the model alone, as nothing before the merges would change it."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -48,9 +49,9 @@ class WordEncoder:
     def encode(self, texts: Iterable[bytes]) -> Iterable[bytes]:
         for text in texts:
             words = text.split()
-            if len(self.known) > CACHED_WORDS:
+            if len(self.known) > self.cached:
                 self.known.clear()
-            if len(self.cores) > CACHED_WORDS:
+            if len(self.cores) > self.cached:
                 self.cores = {"": b""}
             known, passing, odd = self.known, {}, []
             for word in set(words).difference(known):
@@ -76,12 +77,12 @@ class WordEncoder:
         return ids
 
 
-#: One encoder a worker, by path.
-_encoders: dict[str, WordEncoder] = {}
+#: One encoder a worker, by path and words kept.
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 KEPT["tokens"] = _encoders.clear
 
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+def encoder(path: str, cached: int = CACHED_WORDS) -> WordEncoder:
+    if (path, cached) not in _encoders:
+        _encoders[path, cached] = WordEncoder(path, cached)
+    return _encoders[path, cached]
