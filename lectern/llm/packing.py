@@ -48,67 +48,75 @@ def pieces(docs: DataFrame, path: str | None = None, size: int = SEQUENCE, cache
     return whole.mapInArrow(relieved(cut_up, "tokens"), PIECES)
 
 
+class Complements:
+    """Which one, two or three of the available lengths sum to a gap exactly.
+
+    counts[x] pieces of length x are left, and only become fewer. For each sum there is a place in the order of its
+    pairs, and one in that of its triples, before which all are used up: so each is given up once, however
+    often its sum is asked for."""
+
+    def __init__(self, counts: list[int]) -> None:
+        self.counts, size = counts, len(counts)
+        self.pair_at = [s - 1 for s in range(size)]  # the larger of the pair, from the largest down
+        self.triple_at = [s - 2 for s in range(size)]
+
+    def of(self, gap: int) -> tuple[int, ...] | None:
+        if not gap:
+            return ()
+        if self.counts[gap]:
+            return (gap,)
+        return self.pair(gap) or self.triple(gap)
+
+    def pair(self, total: int, held: int = 0) -> tuple[int, int] | None:
+        """A pair with this sum, besides one piece of length held."""
+        counts, x = self.counts, self.pair_at[total]
+        while 2 * x >= total and x:
+            y = total - x
+            if not counts[x] or not counts[y] or x == y and counts[x] < 2:
+                if self.pair_at[total] == x:
+                    self.pair_at[total] = x - 1
+            elif counts[x] >= 1 + (x == held) + (x == y) and counts[y] >= 1 + (y == held) + (x == y):
+                return x, y
+            x -= 1
+        return None
+
+    def triple(self, total: int) -> tuple[int, int, int] | None:
+        counts, x = self.counts, self.triple_at[total]
+        while 3 * x >= total and x:
+            if counts[x] and (found := self.pair(total - x, x)):
+                return x, *found
+            rest = total - x
+            if self.triple_at[total] == x and (not counts[x] or 2 * self.pair_at[rest] < rest):
+                self.triple_at[total] = x - 1
+            x -= 1
+        return None
+
+
 def plan(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
     """Sequences as (lengths, how many such), which use up counts (of pieces, by length).
 
     From the longest length down, a piece's gap is looked up among the sums of one, two and three available
     lengths; a combination that fills it exactly is used as often as its lengths last. Pieces without one are
     filled by the largest lengths that fit. The work follows the number of lengths, not of pieces."""
-    left = np.zeros(size + 1, "int64")
+    left = [0] * (size + 1)
     for length, n in counts.items():
         left[length] += n
+    index = Complements(left)
     out: list[tuple[tuple[int, ...], int]] = []
-
-    def use(lengths: tuple[int, ...]) -> None:
-        times = min(left[x] // n for x, n in Counter(lengths).items())
-        for x in lengths:
-            left[x] -= times
-        out.append((lengths, int(times)))
-
-    def enough(lengths: tuple[int, ...]) -> bool:
-        return all(left[x] >= n for x, n in Counter(lengths).items())
-
-    def filled(first: int, gap: int) -> tuple[int, ...] | None:
-        if gap == 0:
-            return (first,)
-        if enough((first, gap)):
-            return first, gap
-        if pair := two(first, gap):
-            return first, *pair
-        there = np.flatnonzero(left[1 : gap - 1]) + 1
-        for second in there[::-1]:
-            if 3 * second < gap:  # the largest of three is at least a third
-                break
-            if enough((first, int(second))) and (pair := two(first, gap - int(second), int(second))):
-                return first, int(second), *pair
-        return None
-
-    def two(first: int, gap: int, most: int = size) -> tuple[int, int] | None:
-        there = (left[1:gap] > 0) & (left[gap - 1 : 0 : -1] > 0)
-        for x in np.flatnonzero(there)[::-1] + 1:
-            x, y = int(x), gap - int(x)
-            if x < y:
-                break
-            if x <= most and enough((first, *([most] if most < size else []), x, y)):
-                return x, y
-        return None
-
     for first in range(size, 0, -1):
-        while left[first] and (found := filled(first, size - first)):
-            use(found)
         while left[first]:
-            left[first] -= 1
-            lengths, gap = [first], size - first
-            while gap:
-                there = np.flatnonzero(left[1 : gap + 1])
-                if not len(there):
-                    break
-                lengths.append(int(there[-1]) + 1)
-                left[lengths[-1]] -= 1
-                gap -= lengths[-1]
-            for x in lengths:
-                left[x] += 1
-            use(tuple(lengths))
+            left[first] -= 1  # from here on this piece is placed, whatever fills its gap
+            found = index.of(size - first)
+            if found is None:
+                found, gap = (), size - first
+                while gap and (best := next((x for x in range(min(gap, first), 0, -1) if left[x] > found.count(x)), 0)):
+                    found, gap = (*found, best), gap - best
+            uses = Counter((first, *found))
+            times = 1 + min((left[x] - n + (x == first)) // n for x, n in uses.items())
+            left[first] += 1
+            for x, n in uses.items():
+                left[x] -= n * times
+            out.append(((first, *found), times))
     return out
 
 

@@ -18,10 +18,17 @@ from lectern.llm.common import relieved, table
 #: Labelled rows that a model is fitted on, at most; the rows whose hashed id comes first.
 SAMPLE = 12_000
 BUCKETS = 1 << 20
-#: Buckets that tell the classes apart best and get a weight and factors.
-WIDTH = 1024
+#: Labelled rows that must have a term for it to get a weight and factors.
+SUPPORT = 4
 FACTORS = 8
-STEPS = 300
+EPOCHS, BATCH, RATE = 30, 128, 0.1
+#: Steps at least, however few rows there are.
+STEPS = 600
+#: Terms (the most frequent) whose pairs are looked at for where factors start, and how many standard errors from
+#: nothing what the weights leave over must lie for a pair.
+PAIRED, CLEAR = 1024, 6.0
+#: Pulls towards zero: of each weight, and of each term's factors together. What signal holds up against them stays.
+WEIGHT_PULL, FACTOR_PULL = 3e-3, 1.2e-2
 STRIPPED = bytes(b for b in range(128) if not chr(b).isalnum())
 CACHED_WORDS = 150_000
 
@@ -51,7 +58,6 @@ class Model:
     bias: float
     weights: np.ndarray
     factors: np.ndarray
-    scale: float = 1.0
     shift: float = 0.0
 
     def logit(self, columns: list[int]) -> float:
@@ -60,15 +66,30 @@ class Model:
         return self.bias + float(self.weights[columns].sum() + 0.5 * (total @ total - (v * v).sum()))
 
     def score(self, terms: set[int]) -> float:
-        column = self.column
-        z = self.scale * self.logit([column[t] for t in terms if t in column]) + self.shift
+        z = self.logit([self.column[t] for t in self.column.keys() & terms]) + self.shift
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> Model:
+class Sums:
+    """Sums over the terms of each row of a batch."""
+
+    def __init__(self, lengths: np.ndarray) -> None:
+        self.row, self.n = np.repeat(np.arange(len(lengths)), lengths), len(lengths)
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        if values.ndim == 1:
+            return np.bincount(self.row, values, self.n)
+        return np.stack([np.bincount(self.row, x, self.n) for x in values.T], 1)
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
     """A model from term sets and 0/1 labels; without both classes, a constant one (score 0 without labels).
 
-    A fifth of the rows is kept from the fit and sets the shift with which 0.5 is the best threshold by F1."""
+    All terms that SUPPORT rows have take part, whatever they say alone, so that the factors can learn what two
+    say together. Steps of AdaGrad over batches; after each, weights and factors are pulled towards zero, so that
+    those of most terms stay there. For a third of the time weights learn alone; then factors start from the pairs
+    whose rows the weights misjudge (of frequent terms), and from small random numbers. A fifth of the rows is kept from the fit and sets the shift with which 0.5 is
+    the best threshold by F1."""
     n, positive = len(labels), int(labels.sum())
     if not 0 < positive < n:
         return Model({}, 30.0 if n and positive else -30.0, np.zeros(0), np.zeros((0, FACTORS)))
@@ -76,46 +97,75 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed: in
     kept = rng.random(n) < 0.2
     if not 0 < labels[~kept].sum() < (~kept).sum():
         kept[:] = False
-    lengths = np.array([len(r) for r in rows])
-    row, term = np.repeat(np.arange(n, dtype="int32"), lengths), np.concatenate([*rows, np.zeros(0, "int32")]).astype("int32")
-    mine = ~kept[row]
-    y = labels[~kept].astype(float)
-    hit = np.bincount(term[mine & (labels[row] == 1)], minlength=BUCKETS)
-    seen = np.bincount(term[mine], minlength=BUCKETS)
-    rate, share = hit / max(1, y.sum()), seen / len(y)
-    z = (rate - share) / np.sqrt(np.maximum(share * (1 - share), 1e-9) / max(1, y.sum()))
-    z[(seen < 4) | (np.abs(z) < 4.5)] = 0
-    chosen = np.argsort(-np.abs(z), kind="stable")[:WIDTH]
-    chosen = chosen[z[chosen] != 0]
-    column = {int(t): i for i, t in enumerate(chosen)}
-    where = np.full(BUCKETS, -1)
-    where[chosen] = np.arange(len(chosen))
-    x = np.zeros((n, len(chosen)), "float32")
-    used = where[term] >= 0
-    x[row[used], where[term[used]]] = 1
-    X = x[~kept]
-    bias, w, v = float(np.log(y.mean() / (1 - y.mean()))), np.zeros(len(chosen), "float32"), rng.normal(0, 0.01, (len(chosen), FACTORS)).astype("float32")
-    state = [np.zeros_like(p) for p in (np.zeros(1), w, v) for _ in range(2)]
-    for t in range(1, steps + 1):
-        s = X @ v
-        logits = bias + X @ w + 0.5 * ((s * s).sum(1) - X @ (v * v).sum(1))
-        g = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - y).astype("float32") / len(y)
-        grads = [np.array([g.sum()]), X.T @ g + 2e-4 * w, X.T @ (g[:, None] * s) - (X.T @ g)[:, None] * v + 1e-3 * v]
-        moves = []
-        for k, grad in enumerate(grads):
-            m, u = state[2 * k], state[2 * k + 1]
-            m += 0.1 * (grad - m)
-            u += 0.01 * (grad * grad - u)
-            moves.append(0.05 * (m / (1 - 0.9**t)) / (np.sqrt(u / (1 - 0.99**t)) + 1e-8))
-        bias, w, v = bias - float(moves[0][0]), w - moves[1].astype("float32"), v - moves[2].astype("float32")
-    model = Model(column, bias, w, v)
+    seen = np.bincount(np.concatenate([*(r for r, k in zip(rows, kept, strict=True) if not k), np.zeros(0, "int32")]), minlength=BUCKETS)
+    terms = np.flatnonzero(seen >= SUPPORT)
+    where = np.full(BUCKETS, -1, "int32")
+    where[terms] = np.arange(len(terms))
+    own = [c[c >= 0] for c in (where[r] for r in rows)]
+    lengths, flat = np.array([len(c) for c in own]), np.concatenate([*own, np.zeros(0, "int32")])
+    ends = np.cumsum(lengths)
+    base = labels[~kept].mean()
+    bias, w, v = float(np.log(base / (1 - base))), np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), FACTORS))
+    past = [1e-8, np.full(len(terms), 1e-8), np.full(len(terms), 1e-8)]
+
+    def logits(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, Sums]:
+        sums = Sums(lengths[part])
+        columns = flat[np.repeat(ends[part] - np.cumsum(lengths[part]), lengths[part]) + np.arange(lengths[part].sum())]
+        total = sums.of(v[columns])
+        return bias + sums.of(w[columns]) + 0.5 * ((total * total).sum(1) - sums.of((v[columns] ** 2).sum(1))), total, columns, sums
+
+    batches = max(1, int((~kept).sum()) // BATCH)
+    turns = max(epochs, -(-STEPS // batches))
+    start, v[:] = v.copy(), 0
+    for turn in range(turns):
+        if turn == turns // 3:
+            part, often = np.flatnonzero(~kept), np.argsort(-seen[terms], kind="stable")[:PAIRED]
+            z, _, columns, sums = logits(part)
+            place = np.full(len(terms), -1)
+            place[often] = np.arange(len(often))
+            mine = place[columns] >= 0
+            x = np.zeros((len(part), len(often)), "float32")
+            x[sums.row[mine], place[columns[mine]]] = 1
+            v[:] = start
+            v[often] += _together(x, labels[part] - 1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        for part in np.array_split(rng.permutation(np.flatnonzero(~kept)), batches):
+            z, total, columns, sums = logits(part)
+            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[part]) / len(part)
+            used, of = np.unique(columns, return_inverse=True)
+            each = g[sums.row]
+            dw = np.bincount(of, each, len(used))
+            dv = np.stack([np.bincount(of, each * (total[sums.row, k] - v[columns, k]), len(used)) for k in range(FACTORS)], 1)
+            past[0] += g.sum() ** 2
+            past[1][used] += dw * dw
+            past[2][used] += (dv * dv).mean(1)
+            bias -= RATE / past[0] ** 0.5 * g.sum()
+            step = RATE / np.sqrt(past[1][used])
+            x = w[used] - step * dw
+            w[used] = np.sign(x) * np.maximum(0, np.abs(x) - step * WEIGHT_PULL)
+            step = RATE / np.sqrt(past[2][used])[:, None]
+            x = v[used] - step * dv
+            v[used] = x * np.maximum(0, 1 - step * FACTOR_PULL / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12))
+    held = w.astype(bool) | v.any(1)
+    model = Model({int(t): i for i, t in enumerate(terms[held])}, bias, w[held], v[held])
     if kept.any():
-        s = x[kept] @ v
-        logits = bias + x[kept] @ w + 0.5 * ((s * s).sum(1) - x[kept] @ (v * v).sum(1))
-        model.shift = -_threshold(logits, labels[kept])
+        model.shift = -_threshold(logits(np.flatnonzero(kept))[0], labels[kept])
     return model
 
 
+def _together(x: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Factors for the terms of x (rows by terms, 0/1) whose products are about what is left over, on the mean, where
+    two of them meet; pairs that aren't CLEAR count as nothing."""
+    met = x.T @ x
+    mean = x.T @ (x * left.astype("float32")[:, None]) / np.maximum(met, 1)
+    mean[(np.abs(mean) * np.sqrt(met) < CLEAR * left.std()) | (met < SUPPORT)] = 0
+    np.fill_diagonal(mean, 0)
+    size, axes = np.linalg.eigh(mean.astype(float))
+    best = np.argsort(-size)[:FACTORS]
+    out = np.zeros((len(mean), FACTORS))
+    out[:, : len(best)] = axes[:, best] * np.sqrt(np.maximum(size[best], 0))
+    return out
+
+
 def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     """The logit above which F1 is best, in the middle of the gap below it; 0 where no label is 1."""
     order = np.argsort(-logits, kind="stable")
@@ -151,8 +201,9 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, predicted) of whole texts. A null or empty text has the score of no terms."""
-    kept = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH * (FACTORS + 1) numbers at most
+    """(doc_id, score, predicted) of whole texts, of any length: terms count once. A null or empty text has the score
+    of no terms; rows repeated whole, and ids with several texts, are scored each."""
+    kept = docs.sparkSession.sparkContext.broadcast(model)  # FACTORS + 1 numbers for each term that SUPPORT of at most SAMPLE rows have
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = kept.value, Terms()

@@ -149,6 +149,20 @@ def test_toxicity_learns_pairs():
     assert toxicity.fit([], np.zeros(0, "int64")).score(set()) < 0.01 and toxicity.fit([np.zeros(0, "int64")], np.ones(1, "int64")).score({1}) > 0.99
 
 
+def test_toxicity_learns_an_exclusive_pair():
+    """Either of two words is toxic without the other, which weights that add up can't tell; no term is left out of
+    learning for what it tells alone."""
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for _ in range(4000):
+        a, b = rng.random(2) < 0.5
+        rows.append(np.array(sorted({1} & {int(a)} | {2} & {2 * int(b)} | set((rng.zipf(1.3, 80) % 5000 + 10).tolist())), "int64"))
+        labels.append(int(a != b))
+    model = toxicity.fit(rows[:3000], np.array(labels[:3000]))
+    assert {1, 2} <= set(model.column)
+    assert np.mean([(model.score(set(r.tolist())) >= 0.5) == y for r, y in zip(rows[3000:], labels[3000:], strict=True)]) > 0.97
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     docs, labels = [], []
@@ -224,6 +238,8 @@ def test_personal_data(spark):
         for r in got:
             every = [tuple(x.split(":")) for x in r["spans"].split(",") if x]
             assert len(every) == sum(tuple(r)[1:5]) + r["n_added"]
+    clash = frame.select("*", *[pii.F.lit("mine").alias(c) for c in ("base", "added", "every", "runs", "found", "scored")])
+    assert {tuple(r)[4:] for r in pii.redacted(clash, trees).collect()} == {("mine",) * 6}
     hidden = pii.redacted(frame, pii.Trees([], [2.0] * 4))
     assert hidden.columns == frame.columns
     for r in hidden.where("doc_id < 600").collect():
