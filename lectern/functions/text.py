@@ -16,7 +16,7 @@ PERMANENT = [
     "repository not found", "could not read from remote repository", "does not appear to be a git repository", "src refspec", "updates were rejected", "non-fast-forward",
 ]
 # Manifest names that are public besides those ending in .sha.
-PUBLIC_NAMES = ["translations", "checksum", "books", "chapters", "checksum.json", "translations.json", "books.json", "chapters.json"]
+PUBLIC_NAMES = ["checksum", "checksum.json", "translations", "translations.json", "books", "books.json", "chapters", "chapters.json"]
 # XML's spellings of booleans.
 TRUE_WORDS, FALSE_WORDS = ["true", "1", "yes"], ["false", "0", "no"]
 
@@ -89,10 +89,10 @@ def normalized_name(c: Column) -> Column:
 
 
 def human_bytes(c: Column) -> Column:
-    """A size with the largest unit of 1024 that it reaches: bytes whole, others with two decimals."""
+    """A size with the largest unit of 1024 that it reaches, with two decimals."""
     n = c.cast("double")
     return (
-        F.when(n < 1024, F.concat(c.cast("bigint").cast("string"), F.lit(" B")))
+        F.when(n < 1024, F.concat(F.format_string("%.2f", n), F.lit(" B")))
         .when(n < 1024.0**2, F.concat(F.format_string("%.2f", F.bround(n / 1024, 2)), F.lit(" KiB")))
         .when(n < 1024.0**3, F.concat(F.format_string("%.2f", F.bround(n / 1024**2, 2)), F.lit(" MiB")))
         .otherwise(F.concat(F.format_string("%.2f", F.bround(n / 1024**3, 2)), F.lit(" GiB")))
@@ -132,13 +132,18 @@ def xml_boolean(c: Column) -> Column:
     return F.when(low.isin(TRUE_WORDS), True).when(low.isin(FALSE_WORDS), False)
 
 
+def long_date(c: Column, zone: str) -> Column:
+    """A time in UTC as the date in a zone: Monday 05-January, 2026."""
+    return F.date_format(F.from_utc_timestamp(c, zone), "EEEE dd-MMMM, yyyy")
+
+
 def joined_url(*parts: Column) -> Column:
     return F.concat_ws("/", *parts)
 
 
 def scheme_groups(c: Column, default: str = "default") -> Column:
     """map from scheme to its values in order, of a text like 'a:x a:y z'. What has no scheme, or an empty one,
-    falls to default; empty values are dropped; schemes come in the order they are first seen."""
+    falls to default; empty values count as values; schemes come in the order they are first seen."""
     parts = F.filter(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({WORD})"), F.lit(1)), lambda x: F.length(x) > 0)
     at = lambda x: F.instr(x, ":")
     pairs = F.transform(
@@ -148,6 +153,5 @@ def scheme_groups(c: Column, default: str = "default") -> Column:
             F.when(at(x) > 0, F.regexp_replace(x, "^[^:]*:", "")).otherwise(x).alias("value"),
         ),
     )
-    full = F.filter(pairs, lambda p: F.length(p["value"]) > 0)
-    schemes = F.array_distinct(F.transform(full, lambda p: p["scheme"]))
-    return F.map_from_entries(F.transform(schemes, lambda s: F.struct(s, F.transform(F.filter(full, lambda p: p["scheme"] == s), lambda p: p["value"]))))
+    schemes = F.array_distinct(F.transform(pairs, lambda p: p["scheme"]))
+    return F.map_from_entries(F.transform(schemes, lambda s: F.struct(s, F.transform(F.filter(pairs, lambda p: p["scheme"] == s), lambda p: p["value"]))))

@@ -41,6 +41,29 @@ def with_children(parents: DataFrame, children: DataFrame, keys: list[str]) -> D
     return parents.join(children.select(*keys).distinct(), keys, "left_semi")
 
 
+def with_file_and_folder(parents: DataFrame, files: DataFrame, folders: DataFrame, keys: list[str]) -> DataFrame:
+    """Children named by their parents that have a file and a folder of their own: those a listing shows."""
+    return with_children(with_children(parents, files, keys), folders, keys)
+
+
+def cells(rows: DataFrame, group: list[str], chapters: str, verses: str) -> DataFrame:
+    """(group..., chapter, verse) of a grid: chapters from 1 to a number, each with verses from 1 to its element of an
+    array of numbers."""
+    outer = rows.select(*group, verses, F.explode(F.when(F.col(chapters) > 0, F.sequence(F.lit(1), F.col(chapters).cast("int")))).alias("chapter"))
+    last = F.get(F.col(verses), F.col("chapter") - 1).cast("int")
+    return outer.select(*group, "chapter", F.explode(F.when(last > 0, F.sequence(F.lit(1), last))).alias("verse"))
+
+
+def scanned(grid: DataFrame, texts: DataFrame, group: list[str], text: str) -> DataFrame:
+    """cells() with the text at each place, without places that have none."""
+    return grid.join(texts, [*group, "chapter", "verse"]).where(F.length(text) > 0)
+
+
+def first_sample(rows: DataFrame, group: list[str], order: list[str], flag: Column) -> DataFrame:
+    """(group..., flag): what the first row of each group, in order, says for all of it; false for null."""
+    return rows.groupBy(*group).agg(F.coalesce(F.min_by(flag, F.struct(*order)), F.lit(False)).alias("flag"))
+
+
 def filtered_map(entries: Column, part: str) -> Column:
     """A map's entries whose key contains part."""
     return F.map_filter(entries, lambda k, v: F.contains(k, F.lit(part)))

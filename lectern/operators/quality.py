@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import json as jsonlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from lectern.functions.text import normalized_name
 
 #: The size a published file must stay below, and the rows of a top report.
 MAX_FILE = 95 * 1024 * 1024
 TOP = 20
-FORBIDDEN = {"base64", "sha256", "raw", "rendered_default", "stripped", "official_attributes", "annotation_segments"}
-BULKY = {"chapters", "verses", "tokens", "spans"}
+#: Members that no published document may have, at any depth.
+FORBIDDEN = {"source", "source_contract"}
+#: Members that aren't entered when structure is looked for, parts of names that tell of structure, and
+#: the members of the entries of a layout.
+BULKY = {"tokens", "spans", "source", "source_contract"}
+STRUCTURE = {"paragraph": (["paragraph"], ["para", "pilcrow"]), "heading": (["heading", "title", "sectionhead"], [])}
+SPAN_PARAGRAPHS = ["p", "para", "pilcrow"]
+HEADING_MEMBERS = ["anchor", "canonical", "heading_type", "order", "text", "type"]
+PARAGRAPH_MEMBERS = ["end", "order", "start", "type"]
 
 
 def key_profile(rows: DataFrame, group: list[str], json: str) -> DataFrame:
@@ -34,8 +43,9 @@ def largest(files: DataFrame, path: str, size: str, n: int = TOP) -> DataFrame:
 
 
 def oversized(files: DataFrame, path: str, size: str, limit: int = MAX_FILE) -> DataFrame:
-    """(path, rule, bytes) of files that reach the limit or are left over from an interrupted write, by path."""
-    rule = F.when(F.col(size) >= limit, "size").when(F.col(path).rlike(r"(^|/)\.[^/]*\.tmp[^/]*$"), "temporary")
+    """(path, rule, bytes) of files that are left over from an interrupted write (a hidden name that ends in .tmp),
+    whatever their size, or that reach the limit, by path."""
+    rule = F.when(F.col(path).rlike(r"(^|/)\.[^/]*\.tmp$"), "temporary").when(F.col(size) >= limit, "size")
     return files.select(F.col(path).alias("path"), rule.alias("rule"), F.col(size).alias("bytes")).where("rule IS NOT NULL").orderBy("path")
 
 
@@ -98,19 +108,87 @@ def editorial_violations(entries: DataFrame, verses: DataFrame, group: list[str]
     )
 
 
-def schema_paths(schema: T.DataType, names: set[str] = frozenset(FORBIDDEN), skip: set[str] = frozenset(), at: str = "") -> list[str]:
-    """Paths at which a schema has a field of one of the names, at any depth; fields in skip aren't entered."""
-    if isinstance(schema, T.ArrayType):
-        return schema_paths(schema.elementType, names, skip, f"{at}[]")
-    if isinstance(schema, T.MapType):
-        return schema_paths(schema.valueType, names, skip, f"{at}{{}}")
-    if not isinstance(schema, T.StructType):
-        return []
-    out = []
-    for f in schema.fields:
-        here = f"{at}.{f.name}" if at else f.name
-        out += [here] * (f.name in names) + ([] if f.name in skip else schema_paths(f.dataType, names, skip, here))
-    return out
+def forbidden_members(json: Column, names: set[str] = frozenset(FORBIDDEN)) -> Column:
+    """Which of the names a JSON text has as a member at any depth, maps included. A quoted text before a colon is a
+    member's name; within texts quotes are escaped."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(json, F.lit(rf'(?<!\\\\)"({"|".join(sorted(names))})"\s*:'), F.lit(1))))
+
+
+def tells_of(name: Column, kind: str) -> Column:
+    """Whether a member's name tells of paragraphs or headings, by its letters and digits in lower case."""
+    parts, whole = STRUCTURE[kind]
+    low = normalized_name(name)
+    found = F.exists(F.array(*[F.lit(p) for p in parts]), lambda p: F.contains(low, p))
+    return found | low.isin(whole) if whole else found
+
+
+def span_kind(tag: Column, type: Column) -> Column:
+    """paragraph, heading or null for a span, by its tag and type."""
+    low = normalized_name(F.coalesce(tag, F.lit("")))
+    both = F.concat(low, normalized_name(F.coalesce(type, F.lit(""))))
+    heading = F.exists(F.array(*[F.lit(p) for p in STRUCTURE["heading"][0]]), lambda p: F.contains(both, p))
+    return F.when(F.contains(both, F.lit("paragraph")) | low.isin(SPAN_PARAGRAPHS), "paragraph").when(heading, "heading")
+
+
+def semantic_fields(json: Column, kind: str) -> Column:
+    """array of (field, value as JSON) of the members of a JSON text that tell of a kind of structure. A member that does
+    is taken whole; bulky ones aren't entered. Documents have any shape, so they are walked in Python."""
+    parts, whole = STRUCTURE[kind]
+
+    def hit(name: str) -> bool:
+        low = "".join(c for c in name.lower() if c.isalnum())
+        return low in whole or any(p in low for p in parts)
+
+    def found(text: str | None) -> list[dict] | None:
+        if text is None:
+            return None
+        todo, out = [("", jsonlib.loads(text))], []
+        while todo:
+            at, x = todo.pop()
+            if isinstance(x, list):
+                todo += [(f"{at}[{n}]", v) for n, v in enumerate(x)][::-1]
+            elif isinstance(x, dict):
+                rows = [(f"{at}.{k}" if at else k, k, v) for k, v in x.items()]
+                out += [{"field": here, "value": jsonlib.dumps(v, ensure_ascii=False, separators=(",", ":"))} for here, k, v in rows if hit(k)]
+                todo += [(here, v) for here, k, v in rows if not hit(k) and k not in BULKY][::-1]
+        return sorted(out, key=lambda f: f["field"])
+
+    return F.pandas_udf(lambda texts: texts.map(found), "array<struct<field:string,value:string>>")(json)
+
+
+def misnamed(wanted: DataFrame, found: DataFrame, keys: list[str], name: str, aliases: str) -> DataFrame:
+    """(keys..., rule) of wanted (keys..., aliases array) that found (keys..., name) lacks, or names otherwise."""
+    rows = wanted.join(found.select(*keys, F.col(name).alias("__name"), F.lit(True).alias("__there")), keys, "left")
+    rule = F.when(F.col("__there").isNull(), "missing").when(~F.coalesce(F.array_contains(F.col(aliases), normalized_name(F.col("__name"))), F.lit(False)), "name")
+    return rows.select(*keys, rule.alias("rule")).where("rule IS NOT NULL")
+
+
+def member_violations(entries: DataFrame, group: list[str], json: str) -> DataFrame:
+    """(group..., rule) of layout entries (JSON text) whose members aren't exactly those of their type, or whose
+    anchor isn't (verse, edge)."""
+    keys = F.array_sort(F.json_object_keys(json))
+    exact = lambda names: F.array(*[F.lit(n) for n in names])
+    kind = F.get_json_object(json, "$.type")
+    anchor = F.array_sort(F.json_object_keys(F.get_json_object(json, "$.anchor")))
+    rule = (
+        F.when(~F.coalesce(kind.isin("heading", "paragraph"), F.lit(False)), "type")
+        .when((kind == "heading") & (keys != exact(HEADING_MEMBERS)), "members")
+        .when((kind == "paragraph") & (keys != exact(PARAGRAPH_MEMBERS)), "members")
+        .when((kind == "heading") & ~F.coalesce(anchor == exact(["edge", "verse"]), F.lit(False)), "anchor")
+    )
+    return entries.select(*group, rule.alias("rule")).where("rule IS NOT NULL")
+
+
+def document_violations(chapters: DataFrame, group: list[str], number: str, json: str) -> DataFrame:
+    """(group..., rule) of chapter documents (JSON text): forbidden members, titles beside the layout, another chapter
+    number than the key's, and no verses."""
+    size = F.coalesce(F.json_array_length(F.get_json_object(json, "$.verses")), F.lit(0))
+    titled = F.array_contains(F.json_object_keys(json), "titles") | F.get_json_object(json, "$.verses[*].titles").isNotNull()
+    rules = F.array(
+        F.when(F.size(forbidden_members(F.col(json))) > 0, "forbidden"), F.when(titled, "titles"),
+        F.when(~F.col(number).cast("bigint").eqNullSafe(F.get_json_object(json, "$.chapter").try_cast("bigint")), "number"), F.when(size == 0, "no verses"),
+    )
+    return chapters.select(*group, F.explode(F.array_compact(rules)).alias("rule"))
 
 
 def missing_targets(wanted: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
@@ -128,17 +206,3 @@ def size_gate(roots: DataFrame, files: DataFrame, root: str, size: str, limit: i
     seen = files.groupBy(root).agg(F.count("*").alias("__n"), F.sum(size).alias("__sum"), F.max(size).alias("__max"))
     rule = F.when(F.col("__n").isNull(), "missing").when(F.col("__sum") == 0, "empty").when(F.col("__max") >= limit, "size")
     return roots.select(root).distinct().join(seen, root, "left").select(root, rule.alias("rule")).where("rule IS NOT NULL")
-
-
-def semantic_fields(schema: T.DataType, names: set[str] = frozenset({"paragraph", "paragraphs", "heading", "headings", "title", "titles"}), skip: set[str] = frozenset(BULKY)) -> list[str]:
-    """Paths of fields that tell of structure, by their letters and digits in lower case; bulky ones aren't entered."""
-    found = schema_paths(schema, {f for f in _names(schema) if "".join(c for c in f.lower() if c.isalnum()) in names}, skip)
-    return sorted(found)
-
-
-def _names(schema: T.DataType) -> set[str]:
-    if isinstance(schema, T.ArrayType):
-        return _names(schema.elementType)
-    if isinstance(schema, T.MapType):
-        return _names(schema.valueType)
-    return {n for f in schema.fields for n in {f.name, *_names(f.dataType)}} if isinstance(schema, T.StructType) else set()

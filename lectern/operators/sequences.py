@@ -76,6 +76,18 @@ def align_tokens(tokens: Column, text: Column) -> Column:
     return F.aggregate(tokens, zero, step, lambda acc: acc["out"])
 
 
+def touched_words(words: DataFrame, ranges: DataFrame, group: list[str], name: str, block: int = 256) -> DataFrame:
+    """(group..., name, word_start, word_end) of ranges (group..., name, start, end): the least and greatest number of the
+    words (group..., number, start, end) that each touches (ends exclusive); 0, 0 for none. Both are dealt out by
+    blocks of places, so that a range meets the words near it alone."""
+    blocks = F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.greatest("start", F.col("end") - 1)) / block)))
+    near = words.select(*group, "number", F.col("start").alias("__a"), F.col("end").alias("__b"), blocks.alias("__block"))
+    met = ranges.select("*", blocks.alias("__block")).join(near, [*group, "__block"]).where((F.col("__b") > F.col("start")) & (F.col("__a") < F.col("end")))
+    found = met.groupBy(*group, name).agg(F.min("number").alias("lo"), F.max("number").alias("hi"))
+    joined = ranges.select(*group, name).join(found, [*group, name], "left")
+    return joined.select(*group, name, F.coalesce("lo", F.lit(0)).alias("word_start"), F.coalesce("hi", F.lit(0)).alias("word_end"))
+
+
 def overlapping_words(words: Column, start: Column, end: Column) -> Column:
     """(word_start, word_end): the least and greatest number of words (start, end, number) that a range of places
     (end exclusive) touches; 0, 0 for none."""

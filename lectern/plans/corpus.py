@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lectern.functions import codec, markup
 from lectern.functions import text as tx
 from lectern.operators import layout, lookups, manifest, nesting
+from lectern.session import settled
+from lectern.sources import contract
 
 META = ["translation", "abbreviation", "lang", "language", "direction", "encoding"]
 #: The distribution fields and the settings they come from.
@@ -20,7 +22,7 @@ CHAPTER = ["source", "nr", "chapter"]
 @dataclass
 class Corpus:
     """verses, editorial: flat rows. chapters, books, translations: rows with path and body. violations: (source,
-    ordinal, rule) of entries that have no place; a build is not to go on with any."""
+    ordinal, rule) of entries that have no place, and of unknown record types; a build is not to go on with any."""
 
     verses: DataFrame
     editorial: DataFrame
@@ -72,7 +74,7 @@ def build(log: DataFrame, dims: dict[str, DataFrame]) -> Corpus:
     languages, directions (code, value), numbers (source_name, nr), names (source_name, name), overrides (abbr, nr,
     name). Work is dealt out by source, book and chapter; a book's and a translation's body is joined from its
     children's, which are text already."""
-    meta = metadata(log, dims)
+    meta = settled(metadata(log, dims))
     r, s = F.col("record"), F.col("record.scope")
     rows = log.where("record.type = 'entry' AND record.scope.type = 'verse_key'").select(
         "source", r["ordinal"].alias("ordinal"), s["intro_scope"].alias("domain"), s["testament"].alias("testament"), s["book"].alias("book"), s["chapter"].alias("chapter"), s["verse"].alias("verse"),
@@ -84,11 +86,14 @@ def build(log: DataFrame, dims: dict[str, DataFrame]) -> Corpus:
     in_book, in_chapter = F.col("domain").isin("verse", "book", "chapter"), F.col("domain").isin("verse", "chapter")
     rule = F.when(in_book & F.col("nr").isNull(), "book").when(in_chapter & ~F.coalesce(F.col("chapter") > 0, F.lit(False)), "chapter").when((F.col("domain") == "verse") & ~F.coalesce(F.col("verse") > 0, F.lit(False)), "verse")
     rows = rows.withColumn("rule", rule)
-    violations = rows.where("rule IS NOT NULL").select("source", "ordinal", "rule")
+    strange = contract.unmapped(log).select("source", F.lit(None).cast("bigint").alias("ordinal"), F.concat(F.lit("record type "), "type").alias("rule"))
+    rows = settled(rows)
+    violations = rows.where("rule IS NOT NULL").select("source", "ordinal", "rule").unionByName(strange)
     rows = rows.where("rule IS NULL").withColumn("nr", F.when(in_book, F.col("nr").cast("bigint"))).withColumn("chapter", F.when(in_chapter, F.col("chapter")))
     shown = codec.display_text(F.col("stripped"), F.col("raw"), F.col("rendered_default"), F.col("markup"), markup.plain)
     rows = rows.withColumn("shown", shown).withColumn("text", F.when(F.col("domain") == "verse", tx.strip_leading_eol(F.col("shown"))).otherwise(F.col("shown")))
     rows = rows.withColumn("m", markup.markup(codec.token_markup(F.col("raw"), F.col("rendered_default"), F.col("markup")), F.col("text")))
+    rows = settled(rows.drop("raw", "rendered_default", "stripped", "shown"))  # markup is read once
 
     seen = rows.where(in_book).groupBy("source", "abbreviation", "nr").agg(F.min_by("default_name", "ordinal").alias("default_name"), F.min("ordinal").alias("seen"))
     books = lookups.with_default(seen, lookups.small(dims["overrides"]), {"abbreviation": "abbr", "nr": "nr"}, "name", F.col("default_name"), "book_name").select("source", "nr", "seen", "book_name")
@@ -104,9 +109,9 @@ def build(log: DataFrame, dims: dict[str, DataFrame]) -> Corpus:
     prose_of = intros.where("prose IS NOT NULL").groupBy(*place).agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "prose"))), lambda x: F.to_json(F.struct(x["prose"].alias("text")))).alias("introduction"))
 
     fact = lambda c: F.col(f"t.{c}").alias(c)
-    of_verses = verses.select(*CHAPTER, "verse", F.lit(1).alias("level"), "ordinal", F.posexplode("m.titles").alias("i", "t")).select(*CHAPTER, "verse", "level", (F.col("ordinal") * 1000 + F.col("i")).alias("seq"), fact("type"), fact("text"), fact("canonical"))
+    of_verses = verses.select(*CHAPTER, "verse", F.lit(1).alias("level"), "ordinal", F.posexplode("m.titles").alias("i", "t")).select(*CHAPTER, "verse", "level", F.struct("ordinal", "i").alias("seq"), fact("type"), fact("text"), fact("canonical"))
     first = verses.groupBy(*CHAPTER).agg(F.min_by("verse", "ordinal").alias("verse"))
-    of_chapters = own_titles.where("chapter IS NOT NULL").select(*place, (F.col("ordinal") * 1000 + F.col("i")).alias("seq"), F.get("ts", F.col("i")).alias("t")).join(first, CHAPTER)
+    of_chapters = own_titles.where("chapter IS NOT NULL").select(*place, F.struct("ordinal", "i").alias("seq"), F.get("ts", F.col("i")).alias("t")).join(first, CHAPTER)
     of_chapters = of_chapters.select(*CHAPTER, "verse", F.lit(0).alias("level"), "seq", fact("type"), fact("text"), fact("canonical"))
     editorial = layout.editorial(verses.select(*CHAPTER, "ordinal", "verse", "paragraph"), of_chapters.unionByName(of_verses), CHAPTER)
     anchor = F.when(F.col("type") == "heading", F.struct("verse", F.lit("before").alias("edge")))

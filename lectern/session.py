@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,3 +26,15 @@ def get_session(master: str = "local[*]", partitions: int = 8, **conf: str) -> S
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder of spark.checkpoint.dir (where that is unset, a temporary one, in
+    local mode only): what is built on it has a short plan, and reads it instead of making it anew."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lectern-"))
+    return df.checkpoint(eager=True)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.codec import BYTES, byte_value_rule, decoded, utf8
+from lectern.functions.codec import BYTES, byte_value_rule, decoded, envelope_faults, unknown_members, utf8
 from lectern.operators.sequences import ordered_digest
 
 #: Fixed values of the format: the longest line, the record types and their stages.
@@ -71,7 +71,13 @@ def violations(log: DataFrame, expected: DataFrame | None = None, require_succes
     )
     in_group = Window.partitionBy("source", "begun").orderBy("line_no")
     rows = rows.withColumn("n_chunk", F.sum(chunk.cast("int")).over(in_group.rowsBetween(Window.unboundedPreceding, 0)) - 1).withColumn("group_id", F.first(F.when(begin, r["artifact_id"]), True).over(in_group))
-    nested = [(c, byte_value_rule(r[c])) for c in BYTE_FIELDS]
+    extra = lambda at: F.when(F.size(F.coalesce(unknown_members(F.get_json_object("line", f"$.{at}")), F.array())) > 0, "members")
+    nested = [(c, F.coalesce(byte_value_rule(r[c]), extra(c))) for c in BYTE_FIELDS]
+    name = r["scope"]["book_name"]
+    named = F.coalesce(byte_value_rule(name), extra("scope.book_name"))
+    # Byte values elsewhere: lines that have more of them than the known fields hold are walked whole.
+    typed = reduce(lambda a, b: a + b, [x.isNotNull().cast("int") for x in (*(r[c] for c in BYTE_FIELDS), name)])
+    rows = rows.withColumn("more", F.size(F.regexp_extract_all("line", F.lit(r'"(base64)"\s*:'), F.lit(1))) > F.coalesce(typed, F.lit(0)))
     rules = [
         ("line end", ~F.col("ended") | F.col("line").endswith("\r")),
         ("line length", F.octet_length("line") + 1 > MAX_LINE),
@@ -93,9 +99,12 @@ def violations(log: DataFrame, expected: DataFrame | None = None, require_succes
         ("chunk index", chunk & ~r["index"].eqNullSafe(F.col("n_chunk")), r["index"]),
         ("symlink target", begin & (r["file_type"] == "symlink") & r["target"].isNull()),
         *[(f"byte value {c}", r[c].isNotNull() & rule.isNotNull(), rule) for c, rule in nested],
-        ("byte value book_name", r["scope"]["book_name"].isNotNull() & byte_value_rule(r["scope"]["book_name"]).isNotNull(), byte_value_rule(r["scope"]["book_name"])),
+        ("byte value book_name", name.isNotNull() & named.isNotNull(), named),
     ]
-    found = [_broken(rows, rules), _artifact_violations(log), _footer_violations(log, require_success)]
+    known = F.array(*[F.lit(f"$.{c}") for c in (*BYTE_FIELDS, "scope.book_name")])
+    faults = log.join(rows.where("more").select("source", "line_no"), ["source", "line_no"], "left_semi").select("source", "line_no", F.explode(envelope_faults("line")).alias("f"))
+    elsewhere = faults.where(~F.array_contains(known, F.col("f.at"))).select("source", "line_no", F.lit("byte value elsewhere").alias("rule"), F.concat("f.at", F.lit(" "), "f.rule").alias("detail"))
+    found = [_broken(rows, rules), elsewhere, _artifact_violations(log), _footer_violations(log, require_success)]
     if expected is not None:
         module = log.where("record.type = 'module'").select("source", "line_no", utf8(r["name"]).alias("m"), r["classification"].alias("c")).join(expected, "source")
         found.append(_broken(module, [("module", F.col("m") != F.col("module"), F.col("m")), ("classification", F.col("c") != F.col("classification"), F.col("c"))]))
@@ -155,6 +164,11 @@ def _footer_violations(log: DataFrame, require_success: bool) -> DataFrame:
     return _broken(first, gone).unionByName(_broken(foot, list(rules.items())))
 
 
+def unmapped(log: DataFrame) -> DataFrame:
+    """(source, type) of record types that a log may have but a build doesn't know what to do with."""
+    return log.select("source", F.col("record.type").alias("type")).where(F.col("type").isNotNull() & ~F.col("type").isin(KNOWN)).distinct()
+
+
 def require_none(found: DataFrame) -> None:
     """Raises with the first few violations, if there are any: the edge of a build that must not go on."""
     if first := found.limit(5).collect():

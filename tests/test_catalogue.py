@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from lectern.plans import checks  # noqa: F401  it registers its queries
 from lectern.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"

@@ -50,7 +50,9 @@ CASES = [
     (lambda: changed(2, stripped=value("two") | {"size": 9}), "byte value stripped"),
     (lambda: changed(2, stripped=value("two") | {"base64": "dHdv="}), "byte value stripped"),
     (lambda: changed(2, stripped=value("two") | {"sha256": "0"}), "byte value stripped"),
-    (lambda: changed(2, stripped={k: v for k, v in value("two").items() if k != "utf8"}), "byte value stripped"),
+    (lambda: changed(2, stripped=value("two") | {"more": 1}), "byte value stripped"),
+    (lambda: changed(2, stripped=value("two") | {"utf8": "other"}), "byte value stripped"),
+    (lambda: changed(2, other={"deep": [value("two") | {"size": 9}]}), "byte value elsewhere"),
     (lambda: changed(2, type=""), "record type"),
     (lambda: log(records(ENTRIES)) + json.dumps({"sequence": 10, "type": "diagnostic"}) + "\n", "after footer"),
     (lambda: "".join(log(records(ENTRIES)).splitlines(True)[:-1]), "missing footer"),
