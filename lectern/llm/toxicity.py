@@ -21,7 +21,7 @@ BUCKETS = 1 << 20
 #: Labelled rows that must have a term for it to get a weight and factors.
 SUPPORT = 4
 FACTORS = 8
-EPOCHS, BATCH, RATE = 30, 128, 0.1
+EPOCHS, BATCH, RATE = 10, 128, 0.1
 #: Steps at least, however few rows there are.
 STEPS = 600
 #: Terms (the most frequent) whose pairs are looked at for where factors start, and how many standard errors from
