@@ -13,7 +13,11 @@ K = 5
 #: Rows of a block: candidates at least and at most, and queries at most.
 LEAST, MOST, ASKED = 512, 32_768, 8_192
 #: Entries first read from each list, and by what the depth grows.
-DEPTH, GROWTH = 32, 16
+DEPTH, GROWTH = 32, 4
+#: Rows of a set of lists: few enough for a processor's cache. A block has as many sets as it takes.
+LISTED = 512
+#: Reading stops for good when a set of lists has at most this share of its rows left, and outsiders can't qualify.
+CONTENDERS = 1 / 32
 
 HITS = "query_id long, vec_id long, score long"
 
@@ -29,38 +33,59 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True))
 
 
-def best(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, own: int, k: int, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The k best (ids, scores) of a block for one query, without the query's own row, ties to smaller ids.
-
-    lists[d] has the block's rows in ascending order of component d. Each list is read from the end that the
-    sign of the query's component makes the better one, in growing steps, without looking a row up elsewhere.
-    What a row has shown so far bounds its score from below (with the lists' far ends for the rest) and from
-    above (with the reading places for the rest). Once a row that was never read can't reach the k-th best
-    lower bound, only rows whose upper bound can are left, and their scores are resolved."""
-    n = len(ids)
-    used = np.flatnonzero(query)
-    weights, own_rows, columns, order = query[used], ids == own, vectors.T, lists
-    if len(used) < len(query):
-        columns, order = columns[used], order[used]
-    rank, up = np.arange(len(used))[:, None], (weights > 0)[:, None]
-    low = (columns[rank, order[:, [0, -1]]] * weights[:, None]).min(1)
-    lower, unread = np.where(own_rows, -np.inf, low.sum()), np.ones((n, len(used)), bool)
-    start, depth = 0, DEPTH
-    while depth <= n // 2 and len(used):
-        rows = np.where(up, order[:, n - depth : n - start][:, ::-1], order[:, start:depth])
-        values = columns[rank, rows] * weights[:, None]
-        lower += np.bincount(rows.ravel(), (values - low[:, None]).ravel(), n)
-        unread[rows, rank] = False
-        front, least = values[:, -1], np.partition(lower, n - k)[n - k] if n >= k else -np.inf
-        if front.sum() < least:
-            left = np.flatnonzero(~own_rows & (lower + unread @ (front - low) >= least))
-            break
-        start, depth = depth, depth * GROWTH
-    else:  # the lists are read to their ends
-        left = np.flatnonzero(~own_rows)
-    exact = vectors[left] @ query
-    order = np.lexsort((ids[left], -exact))[:k]
-    return ids[left][order], exact[order]
+class Lists:
+    """Some rows of a block in the order of each component, ascending ([0]) and descending ([1]): order[.][d] has the
+    rows, values[.][d] the components in that order, places[.][d] each row's place in it (to tell what was read)."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.ids, self.vectors = ids, vectors
+        order = np.argsort(vectors, axis=0, kind="stable").T
+        values = np.take_along_axis(vectors.T, order, 1).astype(float)
+        places = np.empty_like(order)
+        np.put_along_axis(places, order, np.arange(len(ids))[None, :], 1)
+        self.order, self.values = np.stack([order, order[:, ::-1]]), np.stack([values, values[:, ::-1]])
+        self.places = np.stack([places, len(ids) - 1 - places])
+
+
+def best(lists: Lists, query: np.ndarray, own: int, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray, int]:
+    """(ids, scores, depth): the k best of the lists' rows for one query, without the query's own rows, ties to smaller
+    ids, and how deep the lists were read. Scores are clipped to 64 bits; those below floor needn't be found.
+
+    Each list is read from the end that the sign of the query's component makes the better one, in growing steps,
+    without looking a row up elsewhere. What a row has shown so far bounds its score from below (with the lists'
+    far ends for the rest) and from above (with the reading places for the rest). Once a row that was never read
+    can't reach the k-th best lower bound, only rows whose upper bound can are contenders; when these are few, or
+    the lists have ended, which makes both bounds one, their scores are resolved. Bounds are doubles, widened by
+    their rounding."""
+    ids, n, used, edge = lists.ids, len(lists.ids), np.flatnonzero(query), 2.0**63
+    weights, own_rows, way = query[used].astype(float), ids == own, (query[used] > 0).astype(int)
+    order, values = lists.order[way, used], lists.values[way, used] * weights[:, None]
+    low = values[:, -1]
+    most = np.maximum(np.abs(values[:, 0]), np.abs(low)).sum()
+    slack = most * (len(used) + 2) * 2.0**-50 if most >= 2**53 else 0.0
+    lower, start, left = np.where(own_rows, -np.inf, low.sum()), 0, np.flatnonzero(~own_rows)
+    while start < n and len(used):
+        depth = min(n, max(DEPTH, start * GROWTH))
+        lower += np.bincount(order[:, start:depth].ravel(), (values[:, start:depth] - low[:, None]).ravel(), n)
+        front, start = values[:, depth - 1], depth
+        least = max(floor, np.partition(lower, n - k)[n - k] if n >= k else -np.inf) - slack
+        least = min(least, edge - slack) if least > slack - edge else -np.inf  # clipped scores are ties
+        if depth == n or front.sum() + slack < least:
+            upper = lower if depth == n else lower + (front - low) @ (lists.places[way, used] >= depth).astype(float)
+            left = np.flatnonzero(~own_rows & (upper + slack >= least))
+            if len(left) <= max(k, n * CONTENDERS):
+                break
+    exact = _scores(lists.vectors[left], query, most)
+    found = np.lexsort((ids[left], ~exact))[:k]  # ~ turns the order of longs round without overflow
+    return ids[left][found], exact[found], start
+
+
+def _scores(vectors: np.ndarray, query: np.ndarray, most: float) -> np.ndarray:
+    """Inner products as longs; those that don't fit become the nearest that does."""
+    if most < 2**62:
+        return vectors @ query
+    edge = np.iinfo("int64")
+    return np.array([min(max(x, edge.min), edge.max) for x in vectors.astype(object) @ query.astype(object)], "int64")
 
 
 def search(block: pd.DataFrame, k: int = K) -> pd.DataFrame:
@@ -71,21 +96,16 @@ def search(block: pd.DataFrame, k: int = K) -> pd.DataFrame:
         ids = given["vec_id"].to_numpy("int64")
         rows = given["v"].to_list()
         dims = max(max(map(len, rows)), max(map(len, asked["v"])), 1)
-        whole = _matrix(rows, dims)
-        # Sums below 2**53 are exact as doubles, which multiply faster than integers.
-        exact = float(np.abs(whole).max(initial=0)) * max(float(np.abs(q.astype(float)).max(initial=0)) for q in asked["v"]) * dims < 2**53
-        vectors = whole.astype(float) if exact else whole
-        lists = np.argsort(vectors, axis=0, kind="stable").T.copy()
+        vectors = _matrix(rows, dims)
+        sets = [Lists(ids[i : i + LISTED], vectors[i : i + LISTED]) for i in range(0, len(ids), LISTED)]
         for own, q in zip(asked["vec_id"].to_numpy("int64"), asked["v"], strict=True):
-            query = _matrix([q], dims)[0].astype(vectors.dtype)
-            if exact:
-                found, scores = best(ids, vectors, query, own, k, lists)
-            else:
-                left = np.flatnonzero(ids != own)
-                scores = vectors[left] @ query
-                order = np.lexsort((ids[left], -scores))[:k]
-                found, scores = ids[left][order], scores[order]
-            out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": scores.astype("int64")}))
+            query, found, scores = _matrix([q], dims)[0], np.zeros(0, "int64"), np.zeros(0, "int64")
+            for one in sets:  # what the sets before have shown is a lower bound for the next
+                more, high, _ = best(one, query, own, k, float(scores[-1]) if len(scores) == k else -np.inf)
+                found, scores = np.append(found, more), np.append(scores, high)
+                order = np.lexsort((found, ~scores))[:k]
+                found, scores = found[order], scores[order]
+            out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": scores}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
 
 
@@ -103,7 +123,7 @@ def top_k(vectors: DataFrame, asks: Column, k: int = K, least: int = LEAST, most
 
     Queries and candidates are dealt into blocks whose sizes have bounds, each query block meets each candidate
     block in a task of its own, and the blocks' results are ranked. A row's block doesn't depend on its id or
-    vector, so copies spread. Rows that share the query's vec_id are its own. Vectors of other lengths count as
+    vector, so copies spread. Rows that share the query's vec_id are its own; rows with a null vec_id take no part. Vectors of other lengths count as
     padded with zeros. Of several rows with a query's vec_id the results are of them all, ranked as one."""
     rows = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "v", F.coalesce(asks, F.lit(False)).alias("asks"), F.monotonically_increasing_id().alias("n")).where("vec_id IS NOT NULL"))
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).first()
@@ -115,8 +135,8 @@ def top_k(vectors: DataFrame, asks: Column, k: int = K, least: int = LEAST, most
     blocks = given.union(asking).groupBy("g", "s")
     found = blocks.applyInPandas(lambda block: search(block, k), HITS)
     # The rank is taken of k rows a block and query, or wide * k rows a query.
-    ranked = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("x"))
-    return ranked.select("query_id", F.posexplode("x").alias("rank", "x")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
+    ranked = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.bitwise_not("score").alias("s"), "vec_id"))), 1, k).alias("x"))
+    return ranked.select("query_id", F.posexplode("x").alias("rank", "x")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.bitwise_not("x.s").alias("score"))
 
 
 def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,18 +121,24 @@ def test_top_k(spark):
     assert [(r["rank"], r["vec_id"]) for r in few] == [(1, 101)]
 
 
-@pytest.mark.parametrize("structured", [True, False])
-def test_lists_are_read_no_further_than_needed(structured):
+@pytest.mark.parametrize("scale", [1, 2**40, 2**58])
+def test_bounds_end_the_reading_where_a_few_components_decide(scale):
+    """Scores are clipped to 64 bits; where they are too large for doubles, bounds are widened."""
     rng = np.random.default_rng(3)
-    rows = rng.integers(-9, 9, (3000, 4)).astype(float)
-    if structured:
-        rows[:20] *= 50
-    ids, lists = np.arange(3000), np.argsort(rows, axis=0, kind="stable").T.copy()
+    rows = rng.integers(-9, 9, (2000, 12))
+    rows[:, :2] *= rng.geometric(0.02, (2000, 2))
+    rows[:40], early = rows[40:80], 0  # repeated rows
+    rows = np.clip(rows.astype(object) * scale, -(2**62), 2**62).astype("int64")
+    ids, edge = rng.permutation(2000), np.iinfo("int64")
+    lists = topk.Lists(ids, rows)
     for n in range(30):
-        query = rows[n]
-        found, scores = topk.best(ids, rows, query, n, 5, lists)
-        want = sorted((-float(rows[i] @ query), i) for i in range(3000) if i != n)[:5]
-        assert [(-s, i) for i, s in zip(found, scores, strict=True)] == want
+        found, scores, depth = topk.best(lists, rows[n], ids[n], 5)
+        exact = [min(max(int(x), edge.min), edge.max) for x in rows.astype(object) @ rows[n].astype(object)]
+        assert [(-s, i) for i, s in zip(found.tolist(), scores.tolist(), strict=True)] == sorted((-exact[i], int(ids[i])) for i in range(2000) if i != n)[:5]
+        early += depth < 2000
+    assert early >= 20 or scale > 1
+    floor = 2.0 * max(abs(int(x)) for r in rows for x in r) ** 2 * 12  # no row reaches it
+    assert scale > 1 or topk.best(lists, rows[0], ids[0], 5, floor)[2] == topk.DEPTH
 
 
 def test_toxicity_learns_pairs():
