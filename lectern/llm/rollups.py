@@ -13,34 +13,40 @@ from lectern.llm.common import cut, relieved, shared_dir, table
 from lectern.llm.tokens import encoder, vocabulary
 
 KEYS = ["source", "lang", "tokenizer"]
-LEDGER = "doc_id long, source string, lang string, tokenizer string, tokens long, n_docs long"
+ITEM = ["doc_id", "part", "tokenizer"]
+LEDGER = "doc_id long, part string, tokenizer string, source string, lang string, tokens long, n_docs long, gone boolean, at long"
 TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
+#: Commits after which the changes since the last whole ledger are folded into a new one.
+FOLD = 16
+#: Items of a batch that are broadcast at most, to find what they counted for; more are joined by a shuffle.
+LOOKED_UP = 1_000_000
 
 
 class Rollup:
     """Totals by source, language and tokenizer version, kept by signed changes under a folder.
 
-    Each commit is a folder of its number with the ledger (what each document and tokenizer counts for now),
-    the totals, and the batch ids applied so far. A commit is written whole under another name and renamed,
-    and readers take the highest number, so that a batch that was cut short has never been; a batch id that is
-    already there changes nothing. One writer at a time is assumed: of two, the later rename fails.
-
-    Changes are rows (doc_id, source, lang, tokenizer, tokens, op), op being 'insert', 'revise' or 'delete'.
-    An insert or revise sets what (doc_id, tokenizer) counts for, a delete takes it away; of several in a batch
-    the delete wins, then the largest (tokens, source, lang). Null tokens count as 0; null keys are values of
-    their own. Other ops, null doc_ids and null tokenizers are counted nowhere."""
-
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
+    Each commit is a folder of its number with its own changes, the totals after it, and the batch ids applied so
+    far. What an item counts for is what the last change of it says; each fold-th commit also holds the whole ledger
+    up to it, so that a commit writes as much as its batch holds, and reads what came since the last ledger.
+    A commit is written whole under another name and renamed, and readers take the highest number, so that a batch
+    that was cut short has never been; a batch id that is already there changes nothing. One writer at a time is
+    assumed: of two, the later rename fails.
+
+    Changes are rows (doc_id, source, lang, tokenizer, tokens, op), op being 'insert', 'revise' or 'delete', and may
+    have part (string, '' by default), which tells items of a doc_id apart, and n_docs (1 by default), the documents
+    that an item stands for. An insert or revise sets what (doc_id, part, tokenizer) counts for, a delete takes it
+    away; of several in a batch the delete wins, then the largest (tokens, source, lang, n_docs). Null tokens count
+    as 0; null sources and languages are values of their own. Other ops, null doc_ids and null tokenizers are counted
+    nowhere."""
+
+    def __init__(self, spark: SparkSession, folder: str, fold: int = FOLD, looked_up: int = LOOKED_UP) -> None:
+        self.spark, self.folder, self.fold, self.looked_up = spark, folder.rstrip("/"), fold, looked_up
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def version(self) -> int:
-        if not self._fs.exists(self._path(self.folder)):
-            return 0
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.folder))]
-        return max([0, *(int(n) for n in names if n.isdigit())])
+        return max(self._numbers(), default=0)
 
     def _read(self, name: str, schema: str) -> DataFrame:
         at = self.version()
@@ -52,38 +58,62 @@ class Rollup:
     def applied(self) -> DataFrame:
         return self._read("batches", "batch_id string")
 
+    def _numbers(self) -> list[int]:
+        if not self._fs.exists(self._path(self.folder)):
+            return []
+        return sorted(int(n) for s in self._fs.listStatus(self._path(self.folder)) if (n := s.getPath().getName()).isdigit())
+
+    def _base(self) -> int:
+        """The last commit with a whole ledger, or 0."""
+        return max((n for n in self._numbers() if self._fs.exists(self._path(f"{self.folder}/{n}/ledger"))), default=0)
+
+    def _said(self, base: int) -> DataFrame:
+        """All that the last ledger and the changes since say, older ones too."""
+        parts = [f"{self.folder}/{base}/ledger"] if base else []
+        parts += [f"{self.folder}/{n}/changes" for n in self._numbers() if n > base]
+        return self.spark.read.schema(LEDGER).parquet(*parts) if parts else self.spark.createDataFrame([], LEDGER)
+
+    def ledger(self) -> DataFrame:
+        """What each item counts for now."""
+        return _last(self._said(self._base())).where("NOT gone")
+
     def apply(self, batch_id: str, changes: DataFrame) -> bool:
         """Commits a batch; False, and nothing done, if it is already in."""
         if not self.applied().where(F.col("batch_id") == batch_id).isEmpty():
             return False
-        at, made = self.version() + 1, f"{self.folder}/.{uuid.uuid4().hex}"
-        best = F.max_by(F.struct("source", "lang", "tokens", "op"), F.struct(F.col("op") == "delete", F.coalesce("tokens", F.lit(0)), "source", "lang"))
-        new = (
-            changes.where("op IN ('insert', 'revise', 'delete') AND doc_id IS NOT NULL AND tokenizer IS NOT NULL")
-            .groupBy("doc_id", "tokenizer").agg(best.alias("x")).select("doc_id", "tokenizer", "x.*")
-        )
-        old = self._read("ledger", LEDGER).select("doc_id", "tokenizer", *[F.col(c).alias(f"old_{c}") for c in ("source", "lang", "tokens")], F.lit(1).alias("had"))
-        merged = old.join(new, ["doc_id", "tokenizer"], "full")
-        gone, kept = F.col("op") == "delete", F.col("op").isNull()
-        after = merged.where(~F.coalesce(gone, F.lit(False))).select(
-            "doc_id", *[F.when(kept, F.col(f"old_{c}")).otherwise(F.col(c)).alias(c) for c in ("source", "lang")], "tokenizer",
-            F.when(kept, F.col("old_tokens")).otherwise(F.coalesce("tokens", F.lit(0))).cast("long").alias("tokens"), F.lit(1).cast("long").alias("n_docs"),
-        )
-        after.write.parquet(f"{made}/ledger")
-        changed = merged.where("op IS NOT NULL")
-        minus = changed.where("had = 1").select(F.col("old_source").alias("source"), F.col("old_lang").alias("lang"), "tokenizer", F.lit(-1).alias("d"), (-F.col("old_tokens")).alias("t"))
-        plus = changed.where("op <> 'delete'").select("source", "lang", "tokenizer", F.lit(1).alias("d"), F.coalesce("tokens", F.lit(0)).alias("t"))
-        deltas = minus.union(plus).groupBy(*KEYS).agg(F.sum("d").alias("d"), F.sum("t").alias("t"))
-        summed = self.totals().select(*KEYS, F.col("n_docs").alias("d"), F.col("n_tokens").alias("t")).union(deltas).groupBy(*KEYS).agg(F.sum("d").alias("n_docs"), F.sum("t").alias("n_tokens"))
+        at, base, made = self.version() + 1, self._base(), f"{self.folder}/.{uuid.uuid4().hex}"
+        for name, default in (("part", F.lit("")), ("n_docs", F.lit(1))):
+            changes = changes.withColumn(name, F.coalesce(name, default) if name in changes.columns else default)
+        one = F.struct(F.col("op") == "delete", F.coalesce("tokens", F.lit(0)), "source", "lang", "n_docs")
+        rows = changes.where("op IN ('insert', 'revise', 'delete') AND doc_id IS NOT NULL AND tokenizer IS NOT NULL")
+        best = rows.groupBy(*ITEM).agg(F.max_by(F.struct("source", "lang", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), F.col("n_docs").cast("long").alias("n_docs"), (F.col("op") == "delete").alias("gone")), one).alias("x"))
+        best.select(*ITEM, "x.*", F.lit(at).cast("long").alias("at")).write.parquet(f"{made}/changes")
+        new, said = self.spark.read.schema(LEDGER).parquet(f"{made}/changes"), self._said(base)
+        items = new.select(*ITEM)
+        old = _last(said.join(F.broadcast(items) if new.count() <= self.looked_up else items, ITEM, "left_semi"))
+        signed = lambda rows, sign: rows.where("NOT gone").select(*KEYS, (sign * F.col("n_docs")).alias("d"), (sign * F.col("tokens")).alias("t"))
+        before = self.totals().select(*KEYS, F.col("n_docs").alias("d"), F.col("n_tokens").alias("t"))
+        summed = before.union(signed(old, -1)).union(signed(new, 1)).groupBy(*KEYS).agg(F.sum("d").alias("n_docs"), F.sum("t").alias("n_tokens"))
         summed.where("n_docs <> 0 OR n_tokens <> 0").select(*KEYS, F.col("n_docs").cast("long"), F.col("n_tokens").cast("long")).write.parquet(f"{made}/totals")
         self.applied().union(self.spark.createDataFrame([(batch_id,)], "batch_id string")).coalesce(1).write.parquet(f"{made}/batches")
+        if at - base >= self.fold:
+            _last(said.union(new)).where("NOT gone").write.parquet(f"{made}/ledger")
         if not self._fs.rename(self._path(made), self._path(f"{self.folder}/{at}")):
             raise RuntimeError(f"commit {at} is there already: another writer was faster")
-        if at > 2:
-            self._fs.delete(self._path(f"{self.folder}/{at - 2}"), True)
+        if at - base >= self.fold:
+            for n in self._numbers():
+                if n < base:  # a reader may still be at the last commit, which needs base and what follows
+                    self._fs.delete(self._path(f"{self.folder}/{n}"), True)
         return True
 
 
+def _last(said: DataFrame) -> DataFrame:
+    """Of what is said of an item, the last. A later commit says it but once."""
+    columns = [c.split()[0] for c in LEDGER.split(", ")]
+    last = said.groupBy(*ITEM).agg(F.max_by(F.struct(*columns[3:]), "at").alias("x"))
+    return last.select(*ITEM, "x.*")
+
+
 def counted(docs: DataFrame, path: str | None = None, version: str = "word_bpe_49k") -> DataFrame:
     """(doc_id, source, lang, tokenizer, tokens) of whole texts by the word BPE and by white space ('words').
     A null text has no tokens."""
@@ -103,17 +133,29 @@ def counted(docs: DataFrame, path: str | None = None, version: str = "word_bpe_4
     return whole.mapInArrow(relieved(run, "tokens"), "doc_id long, source string, lang string, tokenizer string, tokens long")
 
 
+def items(counts: DataFrame) -> DataFrame:
+    """Counts of rows (doc_id, source, lang, tokenizer, tokens), summed to items of a Rollup. Rows that share a doc_id
+    count each; rows without one are items of the doc_id 0 with a part of their own."""
+    rows = counts.groupBy("doc_id", *KEYS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n_docs"))
+    part = F.to_json(F.struct(F.col("doc_id").isNull().alias("no_id"), "source", "lang"))
+    return rows.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), part.alias("part"), *KEYS, "tokens", "n_docs")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of all documents after four commits to a new rollup: inserts with a provisional count (a quarter
-    of n_chars), the counts that a tokenizer gives as revisions, the same batch again (which changes nothing),
-    and deletes of documents without a token."""
+    """Totals of all rows of documents after five commits to a new rollup: inserts with a provisional count (a quarter
+    of n_chars), the counts that a tokenizer gives as revisions, the same batch again (which changes nothing), deletes
+    of the items without a token, and their insertion anew. Null and blank texts count as documents of 0 tokens,
+    rows without a doc_id or with a repeated one as documents of their own; an empty table has no totals."""
     docs = table(spark, sf_dir, "documents")
     kept = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
-    known = cut(counted(docs))
-    first = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.explode(F.array(F.lit("word_bpe_49k"), F.lit("words"))).alias("tokenizer"), F.floor(F.col("n_chars") / 4).cast("long").alias("tokens"))
+    known = cut(items(counted(docs)))
+    names = F.explode(F.array(F.lit("word_bpe_49k"), F.lit("words"))).alias("tokenizer")
+    first = items(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", names, F.floor(F.col("n_chars") / 4).cast("long").alias("tokens")))
     kept.apply("provisional", first.withColumn("op", F.lit("insert")))
     revised = known.withColumn("op", F.lit("revise"))
     kept.apply("counted", revised)
     kept.apply("counted", revised)
-    kept.apply("blank", known.where("tokens = 0").withColumn("op", F.lit("delete")))
+    blank = known.where("tokens = 0")
+    kept.apply("blank", blank.withColumn("op", F.lit("delete")))
+    kept.apply("blank again", blank.withColumn("op", F.lit("insert")))
     return kept.totals()

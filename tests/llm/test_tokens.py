@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from lectern.llm import packing, pieces, pii, rollups, tokens, topk, toxicity
 
@@ -192,24 +193,37 @@ def totals(rollup):
     return {(r["source"], r["lang"], r["tokenizer"]): (r["n_docs"], r["n_tokens"]) for r in rollup.totals().collect()}
 
 
-def test_rollups(spark, tmp_path):
+@pytest.mark.parametrize(("fold", "looked_up"), [(16, 100), (2, 0)])
+def test_rollups(spark, tmp_path, fold, looked_up):
     kind = "doc_id long, source string, lang string, tokenizer string, tokens long, op string"
     batch = lambda *rows: spark.createDataFrame(rows, kind)
-    kept = rollups.Rollup(spark, str(tmp_path / "r"))
+    kept = rollups.Rollup(spark, str(tmp_path / "r"), fold, looked_up)
     first = batch((1, "a", "en", "t", 5, "insert"), (2, "a", None, "t", None, "insert"), (3, "b", "en", "t", 7, "insert"), (None, "b", "en", "t", 7, "insert"), (4, "b", "en", "t", 7, "guess"))
     assert totals(kept) == {} and kept.apply("1", first) and not kept.apply("1", first)
     assert totals(kept) == {("a", "en", "t"): (1, 5), ("a", None, "t"): (1, 0), ("b", "en", "t"): (1, 7)}
     assert kept.apply("2", batch((1, "a", "en", "t", 6, "revise"), (3, "c", "en", "t", 8, "revise"), (2, None, None, "t", 0, "delete"), (2, "a", None, "t", 9, "revise"), (9, "a", "en", "t", 0, "delete"), (1, "a", "en", "u", 2, "insert")))
     assert totals(kept) == {("a", "en", "t"): (1, 6), ("c", "en", "t"): (1, 8), ("a", "en", "u"): (1, 2)}
     assert kept.apply("3", batch()) and totals(rollups.Rollup(spark, str(tmp_path / "r"))) == totals(kept)
-    assert sorted(r["batch_id"] for r in kept.applied().collect()) == ["1", "2", "3"]
+    assert kept.apply("4", batch((2, "d", "en", "t", 4, "insert"), (1, "a", "en", "u", 0, "delete"))) and kept.apply("5", batch((2, "d", "en", "t", 3, "revise")))
+    assert totals(kept) == {("a", "en", "t"): (1, 6), ("c", "en", "t"): (1, 8), ("d", "en", "t"): (1, 3)}
+    assert sorted((r["doc_id"], r["tokens"]) for r in kept.ledger().collect()) == [(1, 6), (2, 3), (3, 8)]
+    assert sorted(r["batch_id"] for r in kept.applied().collect()) == ["1", "2", "3", "4", "5"]
+    assert spark.read.parquet(str(tmp_path / "r" / "5" / "changes")).count() == 1, "a commit writes its batch alone"
 
 
 def test_token_counts_equal_a_recount(spark, tmp_path):
-    docs = spark.createDataFrame([(1, "one two", "s", "en", 7), (2, None, "s", "en", 0), (3, "three", None, "de", 5), (4, "four four", "s", "en", 9)], "doc_id long, text string, source string, lang string, n_chars long")
+    rows = [(1, "one two", "s", "en", 7), (2, None, "s", "en", 0), (3, "three", None, "de", 5), (4, "four four", "s", "en", 9), (4, "four", "s", "en", None), (4, "", "q", "en", 0), (None, "x y", "s", "en", 3), (None, "x y", "s", "en", 3), (5, "\t ", "blank", None, 2), (6, "word " * 60_000, "long", "en", 300_000)]
+    docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, source string, lang string, n_chars long, part string, tokens int")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    got = {tuple(r) for r in rollups.op9_token_counts(spark, str(tmp_path)).collect()}
-    assert got == {("s", "en", "words", 2, 4), (None, "de", "words", 1, 1), ("s", "en", "word_bpe_49k", 2, 4), (None, "de", "word_bpe_49k", 1, 1)}
+    want = {}
+    encode = Tokenizer.from_file(tokens.vocabulary()).encode
+    for _, text, source, lang, _ in rows:
+        for name, n in (("words", len((text or "").split())), ("word_bpe_49k", len(encode(text or "", add_special_tokens=False).ids))):
+            d, t = want.get((source, lang, name), (0, 0))
+            want[source, lang, name] = (d + 1, t + n)
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in rollups.op9_token_counts(spark, str(tmp_path)).collect()} == want
+    docs.where("doc_id < 0").write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert rollups.op9_token_counts(spark, str(tmp_path / "none")).collect() == []
 
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
