@@ -19,7 +19,7 @@ TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens lo
 #: Commits after which the changes since the last whole ledger are folded into a new one.
 FOLD = 16
 #: Items of a batch that are broadcast at most, to find what they counted for; more are joined by a shuffle.
-LOOKED_UP = 1_000_000
+LOOKED_UP = 50_000
 
 
 class Rollup:
