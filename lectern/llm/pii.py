@@ -209,6 +209,11 @@ def _passed(spans: Column, rank: int) -> Column:
     return F.filter(spans, lambda m: valid(rank, m["value"]))
 
 
+def _of_kind(rank: int) -> Column:
+    # A lambda with a second argument, a default one too, would be given the place in the array there.
+    return F.filter("base", lambda m: m["rank"] == rank)
+
+
 def spotted(docs: DataFrame, trees: Trees, base: str = "base", added: str = "added") -> DataFrame:
     """docs with base and added: arrays of (start, rank, end, value, ...) by start, then kind. base are the fixed
     patterns' matches that pass. added are other candidates whose probability reaches their kind's threshold; one
@@ -237,7 +242,7 @@ def digests(docs: DataFrame, trees: Trees) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added): counts and digest of the base spans, all
     spans, and the number that the trees added."""
     rows = spotted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), trees)
-    counts = [F.size(F.filter("base", lambda m, k=k: m["rank"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.size(_of_kind(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(shown(F.col("base")), 256).alias("base_sha256"), shown(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 

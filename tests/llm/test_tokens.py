@@ -276,6 +276,12 @@ def test_personal_data_runs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_personal_data_is_counted_by_kind(spark):
+    text = "a@b.co, 1.2.3.4, c@d.org, 4111 1111 1111 1111, e@f.net, +49 30 1234567, 8.8.8.8"
+    got = pii.digests(spark.createDataFrame([(1, text)], "doc_id long, text string"), pii.Trees([], [2.0] * 4)).first()
+    assert tuple(got)[1:5] == (3, 2, 1, 1)
+
+
 def test_personal_data_is_searched_whatever_else_a_text_has(spark):
     from pyspark.sql import functions as F
 
