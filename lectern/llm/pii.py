@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import spare, table
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Documents whose candidates the trees are fitted on, at most; those whose hashed id comes first.
-SAMPLE = 20_000
 TREES, DEPTH = 10, 3
 #: Share of right spans that a kind's threshold must reach on the documents kept from the fit, and how many must show it.
 PRECISION, SHOWN = 0.95, 20
@@ -167,41 +166,48 @@ class Trees:
 
     def probability(self, at: list[Column]) -> Column:
         margin = reduce(lambda a, b: a + b, [F.lit(w) * tree(text.splitlines()[1:], at) for text, w in self.trees], F.lit(0.0))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(margin * -2))
+        return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(margin * -2)), 6)  # as thresholds are of what is given here
 
 
-def trained(docs: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Trees fitted on all candidates, the fixed patterns' and the generators', in at most sample documents. Labels are
-    what right() says; the trees see format and context alone. A kind's threshold is the least probability from
-    which on PRECISION of its candidates in documents kept from the fit are right."""
+def candidates(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(kept, label, rank, a column for each feature, n) and the features' names: n candidates of all documents, the
+    fixed patterns' and the generators', agree in the rest. kept are those of a quarter of the documents, by their
+    ids. Features are few small numbers, so there are far fewer rows than candidates."""
+    text, m = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("m")
+    of = docs.select("doc_id", F.explode(F.array_distinct(F.concat(*fixed(text), generated(text)))).alias("m"))
+    at = {f"f{i}": x for i, x in enumerate(features(m))}
+    kept = (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).alias("kept")
+    rows = of.select(kept, right(m).cast("double").alias("label"), m["rank"].alias("rank"), *[x.alias(n) for n, x in at.items()])
+    return rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias("n")), list(at)
+
+
+def trained(docs: DataFrame) -> Trees:
+    """Trees fitted on all candidates of all documents but those kept from the fit, equal ones as one with their number
+    as its weight. Labels are what right() says; the trees see format and context alone. A kind's threshold is the
+    least probability from which on PRECISION of its candidates in the documents kept from the fit are right."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     none = Trees([], [2.0] * len(KINDS))
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    of = docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id").select("doc_id", F.explode(F.array_distinct(F.concat(*fixed(text), generated(text)))).alias("m"))
-    names = [f"f{i}" for i in range(len(features(F.col("m"))))]
-    rows = of.select("doc_id", right(F.col("m")).cast("double").alias("label"), F.col("m.rank").alias("rank"), *[x.alias(n) for x, n in zip(features(F.col("m")), names, strict=True)])
-    rows = rows.withColumn("kept", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).persist()
+    rows, names = candidates(docs)
+    rows = rows.persist()
     try:
-        seen = rows.where("NOT kept").agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
+        seen = rows.where("NOT kept").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).first()
         if seen["low"] != 0.0 or seen["high"] != 1.0:
             return none
         whole = VectorAssembler(inputCols=names, outputCol="features").transform(rows.where("NOT kept"))
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7, stepSize=0.3, cacheNodeIds=False).fit(whole)
+        bins = max(32, math.isqrt(seen["size"]) + 1)  # the library finds splits on a sample of rows if they are more than the square of this
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=bins, seed=7, stepSize=0.3, cacheNodeIds=False, weightCol="n").fit(whole)
         fitted = Trees([(t.toDebugString, float(w)) for t, w in zip(model.trees, model.treeWeights, strict=True)], none.least)
-        scores = rows.where("kept").select("rank", "label", F.round(fitted.probability([F.col(n) for n in names]), 6).alias("p"))
-        levels = scores.groupBy("rank", "p").agg(F.count("*").alias("n"), F.sum("label").alias("right")).orderBy("rank", F.desc("p")).collect()  # as many as leaves combine, and a sample's rows at most
+        scores = rows.where("kept").select("rank", "label", "n", fitted.probability([F.col(n) for n in names]).alias("p"))
+        levels = scores.groupBy("rank", "p").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("right"))
+        above = Window.partitionBy("rank").orderBy(F.desc("p"))
+        levels = levels.select("rank", "p", F.sum("n").over(above).alias("n"), F.sum("right").over(above).alias("right"))
+        safe = levels.where((F.col("n") >= SHOWN) & (F.col("right") >= PRECISION * F.col("n")))
+        for r in safe.groupBy("rank").agg(F.min("p").alias("p")).collect():
+            fitted.least[r["rank"]] = r["p"]
     finally:
         rows.unpersist()
-    for k in range(len(KINDS)):
-        n = found = 0.0
-        for r in levels:
-            if r["rank"] == k:
-                n, found = n + r["n"], found + r["right"]
-                if n >= SHOWN and found >= PRECISION * n:
-                    fitted.least[k] = r["p"]
     return fitted
 
 

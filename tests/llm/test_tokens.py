@@ -282,6 +282,20 @@ def test_personal_data_is_counted_by_kind(spark):
     assert tuple(got)[1:5] == (3, 2, 1, 1)
 
 
+def test_personal_data_trees_learn_from_all_documents(spark):
+    from pyspark.sql import functions as F
+
+    texts = F.when(F.col("doc_id") < 21_000, "x").when(F.col("doc_id") % 2 == 0, "mail jo at ab dot org now").otherwise("he at 1 dot 2 ok")
+    docs = spark.range(21_600).withColumnRenamed("id", "doc_id").withColumn("text", texts)
+    rows, _ = pii.candidates(docs)
+    assert {(r["label"], r["n"]) for r in rows.groupBy("label").agg(F.sum("n").alias("n")).collect()} == {(0.0, 300.0), (1.0, 300.0)}
+    kept = [r["n"] for r in rows.where("kept").select("n").collect()]
+    assert len(kept) == 2 and min(kept) > pii.SHOWN
+    trees = pii.trained(docs)
+    assert trees.least[0] < 1 and min(trees.least[1:]) == 2.0
+    assert pii.digests(docs, trees).agg(F.sum("n_added")).first()[0] == 300
+
+
 def test_personal_data_is_searched_whatever_else_a_text_has(spark):
     from pyspark.sql import functions as F
 
