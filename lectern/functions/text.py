@@ -41,40 +41,6 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, rf"[{SPACE}]+", " "))
 
 
-def let(value: Column, body) -> Column:  # noqa: ANN001
-    """body of value, which is computed once, however often body has it and within whatever loops."""
-    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
-
-
-def running(sizes: Column, block: int = 64) -> Column:
-    """Running sums of a lambda's array that isn't empty, block by block, so that no array is copied at each step."""
-    total = lambda numbers: F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
-    blocks = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / block).cast("int"))
-    part = lambda b: F.slice(sizes, b * block + 1, block)
-    within = lambda p, before: F.transform(p, lambda _, i: before + total(F.slice(p, 1, i + 1)))
-    return let(
-        F.transform(blocks, lambda b: total(part(b))),
-        lambda sums: F.flatten(F.transform(blocks, lambda b: let(F.named_struct(F.lit("p"), part(b), F.lit("before"), total(F.slice(sums, 1, b))), lambda x: within(x["p"], x["before"])))),
-    )
-
-
-def words(c: Column) -> Column:
-    """array of (word, number from 1, start, end): words with their places in code points, end exclusive."""
-    found = F.regexp_extract_all(c, F.lit(f"({WORD})"), F.lit(1))
-    gaps = F.regexp_extract_all(c, F.lit(f"([{SPACE}]*)({WORD})"), F.lit(1))
-
-    def row(x: Column, end: Column, i: Column) -> Column:
-        return F.named_struct(F.lit("word"), x["word"], F.lit("number"), (i + 1).cast("int"), F.lit("start"), (end - F.length(x["word"])).cast("int"), F.lit("end"), end.cast("int"))
-
-    def placed(pairs: Column) -> Column:
-        sizes = F.transform(pairs, lambda x: F.length(x["gap"]) + F.length(x["word"]))
-        return let(let(sizes, running), lambda ends: F.transform(pairs, lambda x, i: row(x, F.get(ends, i), i)))
-
-    pairs = F.zip_with(found, gaps, lambda word, gap: F.named_struct(F.lit("word"), word, F.lit("gap"), gap))
-    none = F.array().cast("array<struct<word:string,number:int,start:int,end:int>>")
-    return let(pairs, lambda x: F.when(F.size(x) > 0, placed(x)).when(F.size(x) == 0, none))
-
-
 def chapter_name(book: Column, chapter: Column) -> Column:
     return F.concat(book, F.lit(" "), chapter.cast("string"))
 

@@ -61,21 +61,6 @@ def ordered_digest(rows: DataFrame, group: list[str], order: list[str], line: Co
     return rows.groupBy(*group).agg(F.count("*").alias("n_lines"), F.sha2(text.cast("binary"), 256).alias("sha256"))
 
 
-def align_tokens(tokens: Column, text: Column) -> Column:
-    """array of (token, start, end), 1-based and inclusive: each token at its first occurrence after the last one
-    that was found; (0, 0) where there is none, and the place stays."""
-    zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<token:string,start:int,end:int>>").alias("out"))
-
-    def step(acc: Column, token: Column) -> Column:
-        found = F.when(F.length(token) > 0, F.position(token, text, acc["at"])).otherwise(0)
-        hit = found > 0
-        end = F.when(hit, found + F.length(token) - 1).otherwise(0)
-        row = F.struct(token.alias("token"), found.cast("int").alias("start"), end.cast("int").alias("end"))
-        return F.struct(F.when(hit, end + 1).otherwise(acc["at"]).cast("int").alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    return F.aggregate(tokens, zero, step, lambda acc: acc["out"])
-
-
 def touched_words(words: DataFrame, ranges: DataFrame, group: list[str], name: str, block: int = 256) -> DataFrame:
     """(group..., name, word_start, word_end) of ranges (group..., name, start, end): the least and greatest number of the
     words (group..., number, start, end) that each touches (ends exclusive); 0, 0 for none. Both are dealt out by

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.functions import codec
+from lectern.functions import codec, places
 from lectern.functions import text as tx
 from lectern.functions.markup import markup
 from lectern.operators import layout, lookups, manifest, nesting, quality, sequences
@@ -128,7 +128,7 @@ SELECT doc_id, CAST(number AS BIGINT) AS number, word, "end" - length(word) AS "
 """)
 def doc_word_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all words of each document."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.words(F.col("text"))).alias("w"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(places.words(F.col("text"))).alias("w"))
     return rows.select("doc_id", F.col("w.number").cast("bigint").alias("number"), "w.word", F.col("w.start").cast("bigint").alias("start"), F.col("w.end").cast("bigint").alias("end"))
 
 
@@ -226,7 +226,7 @@ SELECT doc_id, CAST(k AS BIGINT) AS k, CAST(coalesce(lo, 0) AS BIGINT) AS word_s
 def word_range_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that ranges of 20 places touch, which begin at each sixth of each document."""
     docs = table(spark, sf_dir, "documents")
-    words = docs.select("doc_id", F.explode(tx.words(F.col("text"))).alias("w")).select("doc_id", "w.number", "w.start", "w.end")
+    words = docs.select("doc_id", F.explode(places.words(F.col("text"))).alias("w")).select("doc_id", "w.number", "w.start", "w.end")
     start = F.floor(F.length("text") * F.col("k") / 6)
     ranges = docs.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k")).select("doc_id", F.col("k").cast("bigint").alias("k"), start.alias("start"), (start + 20).alias("end"))
     found = sequences.touched_words(words, ranges, ["doc_id"], "k")
@@ -472,7 +472,8 @@ def _part_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lemma = F.replace("p_type", F.lit(" "), F.lit("_"))
     word = lambda w, i: F.concat(F.lit('<w lemma="t:'), lemma, F.lit('">'), F.when(i == 1, F.concat(F.lit('<name type="x">'), w, F.lit("</name>"))).otherwise(w), F.lit("</w>"))
     raw = F.concat(F.lit('<title type="main">'), "p_brand", F.lit('</title><milestone type="x-p"/><title type="main">'), "p_brand", F.lit("</title>"), F.array_join(F.transform(words, word), " "))
-    return table(spark, sf_dir, "part").select("p_partkey", "p_type", markup(raw, F.col("p_name")).alias("m"))
+    parts = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism)  # Python reads markup row by row
+    return parts.select("p_partkey", "p_type", markup(raw, F.col("p_name")).alias("m"))
 
 
 @query("""
@@ -501,12 +502,26 @@ def part_markup_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", F.col("m.paragraph").alias("paragraph"), F.size("m.titles").cast("bigint").alias("n_titles"), first["type"].alias("type"), first["text"].alias("text"), F.col("m.plain").alias("plain"))
 
 
+@query(f"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '([{SP}]*)([^{SP}]+)', 1)) AS gap, unnest(regexp_extract_all(text, '([{SP}]*)([^{SP}]+)', 2)) AS word, generate_subscripts(regexp_extract_all(text, '[^{SP}]+'), 1) AS number FROM documents),
+     e AS (SELECT doc_id, word, number, CAST(sum(length(word) + length(gap)) OVER (PARTITION BY doc_id ORDER BY number ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM w)
+SELECT doc_id, CAST(number - 1 + (number - 1) // 10 AS BIGINT) AS i, stop - length(word) + 1 AS "start", stop AS "end" FROM e
+UNION ALL SELECT doc_id, CAST(number + number // 10 - 1 AS BIGINT), 0, 0 FROM e WHERE number % 10 = 0
+""")
+def doc_token_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's words as tokens, and behind every tenth one that stands nowhere: where they stand in the text."""
+    more = lambda w, i: F.when(i % 10 == 9, F.array(w, F.concat(w, F.lit("\u0001")))).otherwise(F.array(w))
+    tokens = F.flatten(F.transform(F.transform(places.words(F.col("text")), lambda x: x["word"]), more))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(places.aligned(tokens, F.col("text"))).alias("i", "t"))
+    return rows.select("doc_id", F.col("i").cast("bigint").alias("i"), F.col("t.start").cast("bigint").alias("start"), F.col("t.end").cast("bigint").alias("end"))
+
+
 @query("""
 SELECT p_partkey, CAST(sum(i) AS BIGINT) AS places FROM (SELECT p_partkey, unnest(range(1, len(string_split(p_name, ' ')) + 1)) AS i FROM part) GROUP BY p_partkey
 """)
 def part_markup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens put at their places by the cursor fold, and from there to words."""
-    rows = table(spark, sf_dir, "part").select("p_partkey", tx.words(F.col("p_name")).alias("w"), sequences.align_tokens(F.split("p_name", " "), F.col("p_name")).alias("t"))
+    """Tokens put at their places one behind the other, and from there to words."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", places.words(F.col("p_name")).alias("w"), places.aligned(F.split("p_name", " "), F.col("p_name")).alias("t"))
     place = F.transform("t", lambda t: sequences.overlapping_words(F.col("w"), t["start"] - 1, t["end"])["word_start"])
     return rows.select("p_partkey", F.aggregate(place, F.lit(0), lambda a, x: a + x).cast("bigint").alias("places"))
 

@@ -3,7 +3,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from lectern.functions import text as tx
+from lectern.functions import places
 
 
 def test_words_of_whole_texts(spark):
@@ -11,9 +11,32 @@ def test_words_of_whole_texts(spark):
     texts = [None, "", " \t", "one", "  two three\n", long]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     began = time.monotonic()
-    got = {r["i"]: r["w"] for r in frame.select("i", tx.words(F.col("t")).alias("w")).collect()}
-    assert time.monotonic() - began < 25  # a fold that copies its array takes the square of 60,000
+    got = {r["i"]: r["w"] for r in frame.select("i", places.words(F.col("t")).alias("w")).collect()}
+    assert time.monotonic() - began < 25  # what copies an array at each step takes the square of 60,000
     assert got[0] is None
     for i, t in enumerate(texts[1:], 1):
         want = [(m[0], k, m.start(), m.end()) for k, m in enumerate(re.finditer(r"[^\s]+", t), 1)]
         assert [tuple(x) for x in got[i]] == want
+
+
+def brute_places(tokens, text):
+    behind, out = 0, []
+    for t in tokens:
+        at = text.find(t, behind) if t else -1
+        behind = at + len(t) if at >= 0 else behind
+        out.append((t, at + 1 if at >= 0 else 0, behind if at >= 0 else 0))
+    return out
+
+
+def test_tokens_are_placed_in_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(places, "HELD", 7)
+    many = [f"t{i % 50}\U0001f600" for i in range(20_000)]
+    rows = [(["a", "b", "a"], "b a b a"), (["zz", "a", None, ""], "a zz"), ([], "x"), (None, "x"), (["x"], None), (["a"], ""), (many, " ".join(many))]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, tokens array<string>, t string")
+    frame.select(places.aligned(F.col("tokens"), F.col("t")).alias("p")).collect()  # workers start
+    began = time.monotonic()
+    got = {r["i"]: r["p"] for r in frame.select("i", places.aligned(F.col("tokens"), F.col("t")).alias("p")).collect()}
+    assert time.monotonic() - began < 10
+    for i, (tokens, text) in enumerate(rows):
+        assert got[i] is None if tokens is None or text is None else [tuple(x) for x in got[i]] == brute_places(tokens, text)
+    assert frame.where("i > 99").select(places.words(F.col("t"))).collect() == []
