@@ -38,6 +38,24 @@ def checksum_map(docs: DataFrame, group: list[str], key: str, sha: str = "sha")
     return docs.groupBy(*group).agg(F.to_json(F.map_from_entries(entries)).alias("body"))
 
 
+def sheets(docs: DataFrame, name: str, header: list[str], columns: list[str]) -> DataFrame:
+    """(path, body) of the four files that tell what a folder has, of docs (folder, order, key, sha, url, head, columns):
+    name (a TSV of columns), checksum (a TSV), checksum.json (hashes by key), name.json (head with url and hash, by
+    key). All are in order, and a row is a line; the last line has no end."""
+    quoted = F.to_json(F.array("key"))
+    member = lambda value: F.concat(F.substring(quoted, 2, F.length(quoted) - 2), F.lit(":"), value)
+    more = F.concat(F.substring("head", 1, F.length("head") - 1), F.lit(","), F.substring(F.to_json(F.struct("url", "sha")), 2, 1 << 30))
+    lines = {name: F.concat_ws("\t", *columns), "checksum": F.concat_ws("\t", columns[0], "key", "sha"), "checksum.json": member(F.concat(F.lit('"'), "sha", F.lit('"'))), f"{name}.json": member(more)}
+    rows = docs.select("folder", "order", *[v.alias(f"line{i}") for i, v in enumerate(lines.values())])
+    grouped = rows.groupBy("folder").agg(F.array_sort(F.collect_list(F.struct(*rows.columns[1:]))).alias("rows"))
+    joined = lambda i, sep: F.array_join(F.transform("rows", lambda x: x[f"line{i}"]), sep)
+    sheet = lambda i, first: F.concat_ws("\n", F.lit("\t".join(first)), joined(i, "\n"))
+    whole = lambda i: F.concat(F.lit("{"), joined(i, ","), F.lit("}"))
+    bodies = [sheet(0, header), sheet(1, ["#", "filename", "sha"]), whole(2), whole(3)]
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), b.alias("body")) for n, b in zip(lines, bodies, strict=True)]))
+    return grouped.select("folder", each.alias("x")).select(F.when(F.col("folder") == "", F.col("x.name")).otherwise(F.concat_ws("/", "folder", "x.name")).alias("path"), "x.body")
+
+
 def rollup_hash(docs: DataFrame, group: list[str], key: str, sha: str = "sha") -> DataFrame:
     """(group..., n, sha): a hash over the children's keys and hashes, by key; children are serialized already."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.concat_ws(":", F.col(key).cast("string"), F.col(sha)).alias("v"))))

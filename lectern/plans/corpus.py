@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import codec, markup
 from lectern.functions import text as tx
 from lectern.operators import layout, lookups, manifest, nesting
 from lectern.session import settled
-from lectern.sources import contract
+from lectern.sources import contract, trees
 
 META = ["translation", "abbreviation", "lang", "language", "direction", "encoding"]
 #: The distribution fields and the settings they come from.
 DISTRIBUTION = {"lcsh": "lcsh", "version": "version", "version_date": "swordversiondate", "about": "about", "license": "distributionlicense", "sourcetype": "sourcetype", "source": "textsource", "versification": "versification"}
 CHAPTER = ["source", "nr", "chapter"]
+#: What listings tell of a document's translation.
+TOLD = ["language", "translation", "direction"]
 
 
 @dataclass
 class Corpus:
-    """verses, editorial: flat rows. chapters, books, translations: rows with path and body. violations: (source,
+    """verses, editorial: flat rows. chapters, books, translations: rows with path and body, head (the body without what
+    is nested in it), and what listings tell. violations: (source,
     ordinal, rule) of entries that have no place, and of unknown record types; a build is not to go on with any."""
 
     verses: DataFrame
@@ -45,6 +49,11 @@ def _listed(items: Column) -> Column:
     return F.when(F.size(items) > 0, F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
 
 
+def _joined(one: Column, two: Column) -> Column:
+    """The members of two JSON objects that aren't empty as those of one."""
+    return F.concat(F.substring(one, 1, F.length(one) - 1), F.lit(","), F.substring(two, 2, 1 << 30))
+
+
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """A left join on keys of which some may be null, on both sides."""
     renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
@@ -125,15 +134,15 @@ def build(log: DataFrame, dims: dict[str, DataFrame]) -> Corpus:
     has = F.size("verses") > 0
     inner = _more(
         F.to_json(F.struct("chapter", tx.chapter_name(F.col("book_name"), F.col("chapter")).alias("name"))), titles=F.when(~F.coalesce(has, F.lit(False)), _listed(F.col("titles"))),
-        introduction=_listed(F.col("introduction")), editorial=_listed(F.col("editorial")), verses=F.coalesce(_listed(F.col("verses")), F.lit("[]")),
+        introduction=_listed(F.col("introduction")), editorial=_listed(F.col("editorial")),
     )
     # A chapter of introductions alone has no document of its own, but stays in a book that has verses.
-    chapters = chapters.withColumn("json", inner).withColumn("has_verses", F.coalesce(has, F.lit(False)))
+    chapters = chapters.withColumn("start", inner).withColumn("json", _more(F.col("start"), verses=F.coalesce(_listed(F.col("verses")), F.lit("[]")))).withColumn("has_verses", F.coalesce(has, F.lit(False)))
     shared = F.to_json(F.struct(*META))
     with_meta = chapters.where("has_verses").join(meta, "source")
     fields = F.concat(F.lit("{"), F.substring(shared, 2, F.length(shared) - 2), F.lit(","), F.substring(F.to_json(F.struct(F.col("nr").alias("book_nr"), "book_name")), 2, 1 << 30))
-    chapter_docs = with_meta.select("source", "abbreviation", "nr", "chapter", tx.joined_url(F.col("abbreviation"), F.col("nr").cast("string"), F.concat(F.col("chapter").cast("string"), F.lit(".json"))).alias("path"), fields.alias("shared"), "json")
-    chapter_docs = chapter_docs.withColumn("body", F.concat(F.substring("shared", 1, F.length("shared") - 1), F.lit(","), F.substring("json", 2, 1 << 30))).drop("shared", "json")
+    chapter_docs = with_meta.select("source", "abbreviation", "nr", "chapter", tx.joined_url(F.col("abbreviation"), F.col("nr").cast("string"), F.concat(F.col("chapter").cast("string"), F.lit(".json"))).alias("path"), fields.alias("shared"), "json", "start", F.col("book_name").alias("name"), *TOLD)
+    chapter_docs = chapter_docs.withColumn("body", _joined(F.col("shared"), F.col("json"))).withColumn("head", _joined(F.col("shared"), F.col("start"))).drop("shared", "json", "start")
 
     held = chapters.groupBy("source", "nr").agg(F.bool_or("has_verses").alias("has"), F.transform(F.array_sort(F.collect_list(F.struct("seen_chapter", "json"))), lambda x: x["json"]).alias("chapters")).where("has")
     top, said = (x.where("chapter IS NULL").drop("chapter") for x in (titles_of, prose_of))
@@ -141,16 +150,16 @@ def build(log: DataFrame, dims: dict[str, DataFrame]) -> Corpus:
     named = F.to_json(F.struct("nr", F.col("book_name").alias("name")))
     own = dict(titles=_listed(F.col("titles")), introduction=_listed(F.col("introduction")))
     book_rows = book_rows.withColumn("json", _more(named, **own, chapters=_listed(F.col("chapters"))))
-    book_docs = book_rows.select("source", "abbreviation", "nr", "seen", tx.joined_url(F.col("abbreviation"), F.concat(F.col("nr").cast("string"), F.lit(".json"))).alias("path"), F.concat(F.substring(shared, 1, F.length(shared) - 1), F.lit(","), F.substring(_more(named, chapters=_listed(F.col("chapters")), **own), 2, 1 << 30)).alias("body"))
+    book_docs = book_rows.select("source", "abbreviation", "nr", "seen", tx.joined_url(F.col("abbreviation"), F.concat(F.col("nr").cast("string"), F.lit(".json"))).alias("path"), _joined(shared, _more(named, chapters=_listed(F.col("chapters")), **own)).alias("body"), F.col("book_name").alias("name"), *TOLD, _joined(shared, _more(named, **own)).alias("head"))
 
     listed = book_rows.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("seen", "json"))), lambda x: x["json"]).alias("books"))
     whole = lambda df: df.where("nr IS NULL").drop("nr")
     releases = meta.join(listed, "source", "left").join(whole(top), "source", "left").join(whole(said), "source", "left")
     spread = nesting.with_defaults(F.col("entries"), "x", [*DISTRIBUTION.values()])
     facts = [c.alias(f"distribution_{name}") for c, name in zip(spread, DISTRIBUTION, strict=True)] + [F.coalesce(F.try_element_at("entries", F.lit("abbreviation")), "abbreviation").alias("distribution_abbreviation"), nesting.filtered_map(F.col("entries"), "history").alias("distribution_history")]
-    start = _more(F.to_json(F.struct(*META, "description")), books=F.coalesce(_listed(F.col("books")), F.lit("[]")), **own)
-    body = F.concat(F.substring(start, 1, F.length(start) - 1), F.lit(","), F.substring(F.to_json(F.struct(*facts)), 2, 1 << 30))
-    release_docs = releases.select("source", "abbreviation", F.concat("abbreviation", F.lit(".json")).alias("path"), body.alias("body"))
+    start, end = F.to_json(F.struct(*META, "description")), F.to_json(F.struct(*facts))
+    body = _joined(_more(start, books=F.coalesce(_listed(F.col("books")), F.lit("[]")), **own), end)
+    release_docs = releases.select("source", "abbreviation", F.concat("abbreviation", F.lit(".json")).alias("path"), body.alias("body"), *TOLD, _joined(_more(start, **own), end).alias("head"))
     return Corpus(verses.drop("m"), editorial, chapter_docs, book_docs, release_docs, violations)
 
 
@@ -158,9 +167,50 @@ def manifests(corpus: Corpus, base: str) -> dict[str, DataFrame]:
     """Hashes of the final bytes at the three levels, and (group, body) of their listings and checksum maps."""
     out: dict[str, DataFrame] = {}
     for level, docs, group, key in (("translation", corpus.translations, [], "abbreviation"), ("book", corpus.books, ["abbreviation"], "nr"), ("chapter", corpus.chapters, ["abbreviation", "nr"], "chapter")):
-        hashed = manifest.hashed(docs, F.concat("body", F.lit("\n")), tx.joined_url(F.lit(base), "path")).drop("body")
+        hashed = manifest.hashed(docs, F.concat("body", F.lit("\n")), tx.joined_url(F.lit(base), "path")).drop("body", "head", "name", *TOLD)
         out[level] = hashed
         out[f"{level}_listing"] = manifest.listing(hashed, group, [F.col(key).cast("string"), F.col("url"), F.col("sha")], [key], f"{key}\turl\tsha")
         out[f"{level}_checksums"] = manifest.checksum_map(hashed, group, key)
         out[f"{level}_details"] = manifest.detail_map(hashed, group, key, ["source"])
     return out
+
+
+#: The sheets of each level, by their file's name, with the columns that their first line names.
+SHEETS = {
+    "translations": ["#", "language", "translation", "abbreviation", "direction", "filename", "sha"],
+    "books": ["#", "language", "translation", "abbreviation", "direction", "name", "filename", "sha"],
+    "chapters": ["#", "language", "translation", "abbreviation", "textdirection", "book_nr", "book_name", "filename", "sha"],
+}
+
+
+def files(corpus: Corpus, base: str) -> DataFrame:
+    """(path, body) of all files of a published tree, without their last line feed: the documents at the three levels,
+    the hash of each beside it, and in each folder a sheet of what is there, its checksums as a sheet and as JSON, and
+    its details as JSON. Translations are listed by name, books as they are first seen, chapters by number."""
+    folder = F.array_join(F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1), "/")
+    text = lambda c: F.col(c).cast("string")
+    turn = F.row_number().over(Window.orderBy("abbreviation")).cast("string")
+    levels = [
+        ("translations", corpus.translations, F.col("abbreviation"), turn, "abbreviation", [*TOLD[:2], "abbreviation", "direction", "key"]),
+        ("books", corpus.books, F.col("seen"), text("nr"), "nr", [*TOLD[:2], "abbreviation", "direction", "name", "key"]),
+        ("chapters", corpus.chapters, F.col("chapter"), text("chapter"), "chapter", [*TOLD[:2], "abbreviation", "direction", "nr", "name", "key"]),
+    ]
+    out = []
+    for name, docs, order, number, key, told in levels:
+        hashed = manifest.hashed(docs, F.concat("body", F.lit("\n")), tx.joined_url(F.lit(base), "path"))
+        rows = hashed.select("path", "body", "sha", folder.alias("folder"), order.alias("order"), number.alias("number"), text(key).alias("key"), "head", "url", *[c for c in dict.fromkeys(told) if c != "key"])
+        out += [rows.select("path", "body"), rows.select(F.regexp_replace("path", "json$", "sha").alias("path"), F.col("sha").alias("body"))]
+        out.append(manifest.sheets(rows, name, SHEETS[name], ["number", *told, "sha"]))
+    return reduce(DataFrame.unionByName, out)
+
+
+def publish(corpus: Corpus, root: str, base: str) -> int:
+    """Writes files() below root; how many there are. A build with violations isn't to be published."""
+    contract.require_none(corpus.violations)
+    return trees.write(files(corpus, base), root, F.col("path"), F.col("body"))
+
+
+def publish_public(corpus: Corpus, root: str, base: str) -> DataFrame:
+    """Makes the tree below root the public part of files() (hashes and sheets); what that changed."""
+    rows = files(corpus, base)
+    return trees.mirrored(rows.where(tx.is_public_name(F.substring_index("path", "/", -1))), root, F.col("path"), F.col("body"))

@@ -28,13 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where that is unset, a temporary one, in local mode only."""
+    sc = spark.sparkContext
+    if found := sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir"):
+        return found
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lectern-"))
+    return sc.getCheckpointDir()
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the shared folder of spark.checkpoint.dir (where that is unset, a temporary one, in
-    local mode only): what is built on it has a short plan, and reads it instead of making it anew."""
-    sc = df.sparkSession.sparkContext
+    """df computed once and kept in the shared folder: what is built on it has a short plan, and reads it instead of
+    making it anew."""
+    sc, folder = df.sparkSession.sparkContext, shared_folder(df.sparkSession)
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if not folder and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lectern-"))
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

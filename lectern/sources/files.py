@@ -1,32 +1,21 @@
-"""Trees of files as rows, and files from rows."""
+"""Files as rows: documents of a tree, and archives. trees lists and writes."""
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.text import is_safe_path
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path, size) of all files below root, relative to it. Links are followed by no listing of Spark's; on a local
-    tree links() names them."""
+    """(path, size) of files below root that match a pattern, relative to it. trees.entries tells of folders, links and
+    hidden names too."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     base = root.split(":", 1)[-1].rstrip("/") + "/"
     return files.select(F.substring_index("path", base, -1).alias("path"), F.col("length").alias("size"))
 
 
-def links(root: str) -> list[str]:
-    """Relative paths of links and special files below a local root, by path: none may be published."""
-    found = []
-    for at, folders, names in os.walk(root):
-        found += [os.path.relpath(p, root) for n in [*folders, *names] if os.path.islink(p := os.path.join(at, n)) or not (os.path.isfile(p) or os.path.isdir(p))]
-    return sorted(found)
-
-
 def documents(spark: SparkSession, root: str, reserved: list[str] = ()) -> DataFrame:
     """(path, name, body) of JSON files below root, without reserved names, for orderBy(path)."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
@@ -48,27 +37,3 @@ def archive_conflicts(members: DataFrame, most_members: int = 100_000, most_byte
         .unionByName(pick(totals.where(F.col("n") > most_members), "members"))
         .unionByName(pick(totals.where(F.col("bytes") > most_bytes), "size"))
     )
-
-
-def write_bodies(rows: DataFrame, root: str, path: Column, body: Column) -> None:
-    """Writes each row's body under root at its path, minified text and a line feed. A file is written beside its
-    place and renamed, so that readers and repeated tasks see whole files alone. root is a path of the session's
-    default or a named file system."""
-    checked = rows.select(path.alias("path"), body.alias("body"))
-    if not (bad := checked.where(~is_safe_path(F.col("path")))).isEmpty():
-        raise ValueError(f"unsafe path {bad.first()['path']!r}")
-
-    def put(part: Iterable) -> None:
-        for row in part:
-            target = os.path.join(local, row["path"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            made = f"{target}.{os.getpid()}.tmp"
-            with open(made, "w", encoding="utf-8", newline="\n") as f:
-                f.write(row["body"] + "\n")
-                f.flush()
-                os.fsync(f.fileno())
-            os.chmod(made, 0o644)
-            os.replace(made, target)
-
-    local = root.removeprefix("file://")
-    checked.foreachPartition(put)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators import lookups, quality, sequences
-from lectern.sources import dims, files
+from lectern.sources import dims, files, trees
 
 
 def test_dimensions(spark, tmp_path):
@@ -27,12 +27,10 @@ def test_policy(spark, tmp_path):
 
 def test_files(spark, tmp_path):
     rows = spark.createDataFrame([("a/1.json", '{"x":1}'), ("a/b/2.json", "{}")], "path string, body string")
-    files.write_bodies(rows, str(tmp_path / "out"), F.col("path"), F.col("body"))
+    assert trees.write(rows, str(tmp_path / "out"), F.col("path"), F.col("body")) == 2
     assert (tmp_path / "out/a/1.json").read_text() == '{"x":1}\n'
     assert sorted((r["path"], r["size"]) for r in files.listing(spark, str(tmp_path / "out")).collect()) == [("a/1.json", 8), ("a/b/2.json", 3)]
     assert sorted(r["name"] for r in files.documents(spark, str(tmp_path / "out"), ["2"]).collect()) == ["1"]
-    (tmp_path / "out/link").symlink_to("a")
-    assert files.links(str(tmp_path / "out")) == ["link"]
 
 
 def test_archive_conflicts(spark):
