@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import cut, relieved, shared_dir, table
 from lectern.llm.tokens import encoder, vocabulary
+from lectern.sources import trees
 
 KEYS = ["source", "lang", "tokenizer"]
 ITEM = ["doc_id", "part", "tokenizer"]
@@ -29,8 +30,9 @@ class Rollup:
     far. What an item counts for is what the last change of it says; each fold-th commit also holds the whole ledger
     up to it, so that a commit writes as much as its batch holds, and reads what came since the last ledger.
     A commit is written whole under another name and renamed, and readers take the highest number, so that a batch
-    that was cut short has never been; a batch id that is already there changes nothing. One writer at a time is
-    assumed: of two, the later rename fails.
+    that was cut short has never been; a batch id that is already there changes nothing. Of two writers that make the
+    same number, the one whose rename comes second raises and has changed nothing; it may apply its batch again. What
+    writers that died have left under other names goes by clear().
 
     Changes are rows (doc_id, source, lang, tokenizer, tokens, op), op being 'insert', 'revise' or 'delete', and may
     have part (string, '' by default), which tells items of a doc_id apart, and n_docs (1 by default), the documents
@@ -41,9 +43,7 @@ class Rollup:
 
     def __init__(self, spark: SparkSession, folder: str, fold: int = FOLD, looked_up: int = LOOKED_UP) -> None:
         self.spark, self.folder, self.fold, self.looked_up = spark, folder.rstrip("/"), fold, looked_up
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._store = trees.Store(spark, self.folder)
 
     def version(self) -> int:
         return max(self._numbers(), default=0)
@@ -59,13 +59,21 @@ class Rollup:
         return self._read("batches", "batch_id string")
 
     def _numbers(self) -> list[int]:
-        if not self._fs.exists(self._path(self.folder)):
-            return []
-        return sorted(int(n) for s in self._fs.listStatus(self._path(self.folder)) if (n := s.getPath().getName()).isdigit())
+        return sorted(int(n) for n in self._names() if n.isdigit())
+
+    def _names(self) -> list[str]:
+        return [path for path, *_ in self._store.inside("")] if self._store.exists("") else []
+
+    def clear(self) -> int:
+        """Removes what commits that were cut short have left, for when no writer runs; how many there were."""
+        left = [n for n in self._names() if n.startswith(".")]
+        for name in left:
+            self._store.drop(name)
+        return len(left)
 
     def _base(self) -> int:
         """The last commit with a whole ledger, or 0."""
-        return max((n for n in self._numbers() if self._fs.exists(self._path(f"{self.folder}/{n}/ledger"))), default=0)
+        return max((n for n in self._numbers() if self._store.exists(f"{n}/ledger")), default=0)
 
     def _said(self, base: int) -> DataFrame:
         """All that the last ledger and the changes since say, older ones too."""
@@ -98,14 +106,19 @@ class Rollup:
         self.applied().union(self.spark.createDataFrame([(batch_id,)], "batch_id string")).coalesce(1).write.parquet(f"{made}/batches")
         if at - base >= self.fold:
             _last(said.union(new)).where("NOT gone").write.parquet(f"{made}/ledger")
-        if not self._fs.rename(self._path(made), self._path(f"{self.folder}/{at}")):
-            raise RuntimeError(f"commit {at} is there already: another writer was faster")
+        self._placed(made.rpartition("/")[2], at)
         if at - base >= self.fold:
             for n in self._numbers():
                 if n < base:  # a reader may still be at the last commit, which needs base and what follows
-                    self._fs.delete(self._path(f"{self.folder}/{n}"), True)
+                    self._store.drop(str(n))
         return True
 
+    def _placed(self, made: str, at: int) -> None:
+        """The commit itself: a name that isn't there yet, given in one step."""
+        if not self._store.place(made, str(at)):
+            self._store.drop(made)
+            raise RuntimeError(f"commit {at} is there already: another writer was faster")
+
 
 def _last(said: DataFrame) -> DataFrame:
     """Of what is said of an item, the last. A later commit says it but once."""

@@ -211,6 +211,28 @@ def test_rollups(spark, tmp_path, fold, looked_up):
     assert spark.read.parquet(str(tmp_path / "r" / "5" / "changes")).count() == 1, "a commit writes its batch alone"
 
 
+def test_of_two_writers_of_a_commit_one_raises(spark, tmp_path):
+    kind = "doc_id long, source string, lang string, tokenizer string, tokens long, op string"
+    batch = lambda *rows: spark.createDataFrame(rows, kind)
+    at = str(tmp_path / "r")
+    other = rollups.Rollup(spark, at)
+    other.apply("0", batch((1, "a", "en", "t", 1, "insert")))
+
+    class Late(rollups.Rollup):
+        def _placed(self, made, n):
+            assert other.apply("faster", batch((2, "a", "en", "t", 10, "insert")))
+            super()._placed(made, n)
+
+    mine = batch((3, "a", "en", "t", 100, "insert"))
+    with pytest.raises(RuntimeError):
+        Late(spark, at).apply("slower", mine)
+    assert totals(other) == {("a", "en", "t"): (2, 11)} and sorted(p.name for p in (tmp_path / "r").iterdir()) == ["1", "2"]
+    assert rollups.Rollup(spark, at).apply("slower", mine) and totals(other) == {("a", "en", "t"): (3, 111)}
+    assert sorted(r["batch_id"] for r in other.applied().collect()) == ["0", "faster", "slower"]
+    (tmp_path / "r" / ".cutshort").mkdir()
+    assert other.clear() == 1 and other.clear() == 0 and totals(other) == {("a", "en", "t"): (3, 111)}
+
+
 def test_token_counts_equal_a_recount(spark, tmp_path):
     rows = [(1, "one two", "s", "en", 7), (2, None, "s", "en", 0), (3, "three", None, "de", 5), (4, "four four", "s", "en", 9), (4, "four", "s", "en", None), (4, "", "q", "en", 0), (None, "x y", "s", "en", 3), (None, "x y", "s", "en", 3), (5, "\t ", "blank", None, 2), (6, "word " * 60_000, "long", "en", 300_000)]
     docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, source string, lang string, n_chars long, part string, tokens int")
