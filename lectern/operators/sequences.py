@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.lookups import small
+from lectern.session import settled
+
 
 def numbering_gaps(rows: DataFrame, group: list[str], order: list[str], number: str, first: int = 0) -> DataFrame:
     """(group..., checked, violations): rows of a group, and those whose number isn't first, first + 1, ... in order."""
@@ -51,14 +58,80 @@ def range_gaps(ranges: DataFrame, group: list[str], start: str, end: str) -> Dat
     return ranges.withColumn("__behind", behind).withColumn("rule", rule).where("rule IS NOT NULL").drop("__behind")
 
 
-def ordered_digest(rows: DataFrame, group: list[str], order: list[str], line: Column, end: str = "\n") -> DataFrame:
-    """(group..., n_lines, sha256): SHA-256 over each group's lines in order, each with its end.
+def scanned(rows: DataFrame, group: list[str], order: str, block: Column, sums: dict[str, Column], most: dict[str, Column] | None = None, last: dict[str, Column] | None = None) -> DataFrame:
+    """rows with running values of each group in order, by blocks of neighbours that many tasks work on: for each of sums
+    the sum over the rows before, for each of most the greatest value before, for each of last the last value that
+    isn't null up to the row itself.
+
+    Each block is summed up alone, the summaries are run over (a row a block), and what came before a block is added to
+    what its own rows run to. order must be unique in a group, and a block's rows must be neighbours."""
+    most, last, own = most or {}, last or {}, [*group, "__block"]
+    facts = {**{f"__s_{k}": v for k, v in sums.items()}, **{f"__m_{k}": v for k, v in most.items()}, **{f"__l_{k}": v for k, v in last.items()}}
+    rows = rows.select("*", block.alias("__block"), *[v.alias(k) for k, v in facts.items()])
+    ends = rows.groupBy(*own).agg(
+        *[F.sum(f"__s_{k}").alias(f"__s_{k}") for k in sums], *[F.max(f"__m_{k}").alias(f"__m_{k}") for k in most],
+        *[F.max_by(f"__l_{k}", F.when(F.col(f"__l_{k}").isNotNull(), F.col(order))).alias(f"__l_{k}") for k in last],
+    )
+    over = Window.partitionBy(*group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        *own, *[F.coalesce(F.sum(f"__s_{k}").over(over), F.lit(0)).alias(f"__bs_{k}") for k in sums], *[F.max(f"__m_{k}").over(over).alias(f"__bm_{k}") for k in most],
+        *[F.last(f"__l_{k}", True).over(over).alias(f"__bl_{k}") for k in last],
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"__on{i}")) for i, c in enumerate(own)]
+    right = small(settled(carried.select(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(own)], *carried.columns[len(own) :])))
+    joined = rows.join(right, same).drop(*[f"__on{i}" for i in range(len(own))])
+    window = Window.partitionBy(*own).orderBy(order)
+    before, through = window.rowsBetween(Window.unboundedPreceding, -1), window.rowsBetween(Window.unboundedPreceding, 0)
+    found = joined.select(
+        *[c for c in rows.columns if not c.startswith("__")], *[(F.col(f"__bs_{k}") + F.coalesce(F.sum(f"__s_{k}").over(before), F.lit(0))).alias(k) for k in sums],
+        *[F.greatest(f"__bm_{k}", F.max(f"__m_{k}").over(before)).alias(k) for k in most], *[F.coalesce(F.last(f"__l_{k}", True).over(through), f"__bl_{k}").alias(k) for k in last],
+    )
+    return found
+
+
+def streamed(rows: DataFrame, group: list[str], order: list[str], value: Column, start: Callable, add: Callable, end: Callable, kind: str) -> DataFrame:
+    """(group..., the columns of kind): a state for each group, started by start(), that add(state, bytes) takes through the
+    group's values in order, and end(state) makes the result of. A group's rows go by one task, as its state is one
+    sequence, but batch by batch: neither the rows nor the values are held. Null values are passed over; a group of
+    nothing else has the result of a fresh state."""
+    columns = [c.split()[0] for c in kind.split(", ")]
+    schema = ", ".join([*(f"`{g}` {rows.schema[g].dataType.simpleString()}" for g in group), kind])
+    # Arrow's sort and Spark's equality agree on groups, as equal ones are neighbours.
+    dealt = rows.select(*group, *order, value.cast("binary").alias("__value")).repartition(*group).sortWithinPartitions(*group, *order)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, held = None, None, False
+
+        def told() -> pa.RecordBatch:
+            found = [*key, *end(state)]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(found, types, strict=True)], names=[*group, *columns])
+
+        types = None
+        for batch in batches:
+            if types is None:
+                fixed = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+                types = [*(batch.schema.field(g).type for g in group), *(fixed[c.split()[1]] for c in kind.split(", "))]
+            keys = list(zip(*[batch.column(g).to_pylist() for g in group], strict=True))
+            for own, x in zip(keys, batch.column("__value"), strict=True):
+                if not held or own != key:
+                    if held:
+                        yield told()
+                    key, state, held = own, start(), True
+                if (data := x.as_py()) is not None:
+                    add(state, data)
+        if held:
+            yield told()
+
+    return dealt.select(*group, "__value").mapInArrow(run, schema)
 
-    A group's lines are joined before they are hashed, as the digest is one sequence by definition; groups are the
-    unit of parallel work."""
-    ordered = F.array_sort(F.collect_list(F.struct(*order, line.alias("__line"))))
-    text = F.concat(F.array_join(F.transform(ordered, lambda x: x["__line"]), end), F.lit(end))
-    return rows.groupBy(*group).agg(F.count("*").alias("n_lines"), F.sha2(text.cast("binary"), 256).alias("sha256"))
+
+def ordered_digest(rows: DataFrame, group: list[str], order: list[str], line: Column, end: str = "\n") -> DataFrame:
+    """(group..., n_lines, sha256): SHA-256 over each group's lines in order, each with its end. A line after the other
+    goes into the hash, as the digest is one sequence by definition; groups are the unit of parallel work. A null line is
+    an empty one."""
+    tail = end.encode()
+    add = lambda h, x: (h[0].update(x), h[0].update(tail), h.__setitem__(1, h[1] + 1))
+    return streamed(rows, group, order, F.coalesce(line.cast("binary"), F.lit(b"")), lambda: [hashlib.sha256(), 0], add, lambda h: (h[1], h[0].hexdigest()), "n_lines long, sha256 string")
 
 
 def touched_words(words: DataFrame, ranges: DataFrame, group: list[str], name: str, block: int = 256) -> DataFrame:

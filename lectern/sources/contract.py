@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.codec import BYTES, byte_value_rule, decoded, envelope_faults, unknown_members, utf8
-from lectern.operators.sequences import ordered_digest
+from lectern.operators.lookups import small
+from lectern.operators.sequences import ordered_digest, scanned, streamed
+from lectern.session import settled
 
 #: Fixed values of the format: the longest line, the record types and their stages.
 MAX_LINE = 32 * 1024 * 1024
 STAGES = {"header": 0, "module": 1, "config_source": 2, "config_entry": 3, "entry": 4, "artifact_begin": 5, "artifact_chunk": 5, "artifact_end": 5}
 KNOWN = [*STAGES, "diagnostic", "footer"]
 NUMBERED = ["config_source", "config_entry", "entry"]
+#: Types of which the records before are counted.
+COUNTED = ["header", "module", *NUMBERED, "artifact_begin"]
+#: Lines that a task checks together.
+BLOCK = 65_536
 SEVERITIES = ["error", "info", "warning"]
 
 _CODED = "struct<code:int,name:string>"
@@ -30,14 +37,24 @@ BYTE_FIELDS = ["name", "description", "language", "driver", "path", "raw", "valu
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(source, line_no, line, record): the lines of one or many files. Lines keep their file's order: a file is read
-    as one value, as a digest over all its lines needs it whole, and files are the unit of parallel work."""
-    whole = spark.read.format("binaryFile").load(path).select(F.col("path").alias("source"), "content")
-    return lines(whole)
+    """(source, line_no, line, ended, valid, record): the lines of one or many files of any size, read by ranges of bytes.
+
+    A first pass counts the lines and bytes of each range; what came before a range numbers its lines, and a file with a
+    byte less than its lines and their ends has a last line without one."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    at = F.col("_metadata.file_block_start")
+    raw = raw.select(F.col("_metadata.file_path").alias("source"), at.alias("at"), F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("k"), F.col("value").alias("line"))
+    ranges = raw.groupBy("source", "at").agg(F.min("k").alias("first"), F.count("*").alias("n"), F.sum(F.octet_length("line") + 1).alias("bytes"))
+    whole = Window.partitionBy("source")
+    before = F.coalesce(F.sum("n").over(whole.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    known = ranges.select("source", "at", (before - F.col("first")).alias("shift"), F.sum("n").over(whole).alias("of"), F.sum("bytes").over(whole).alias("bytes"))
+    rows = raw.join(small(settled(known)), ["source", "at"]).withColumn("line_no", F.col("k") + F.col("shift"))
+    ended = (F.col("line_no") < F.col("of") - 1) | (F.col("bytes") <= F.col("size"))
+    return rows.select("source", "line_no", "line", ended.alias("ended"), F.is_valid_utf8("line").alias("valid"), F.from_json("line", RECORD).alias("record"))
 
 
 def lines(files: DataFrame) -> DataFrame:
-    """read's rows of files (source, content binary)."""
+    """read's rows of files (source, content binary) that are values of a table: a file is split in one task."""
     text = F.col("content").cast("string")
     split = files.select("source", F.length("content").alias("n"), F.is_valid_utf8(text).alias("valid"), F.split(text, "\n", -1).alias("parts"))
     every = split.select("source", "valid", F.size("parts").alias("of"), F.posexplode("parts").alias("line_no", "line"))
@@ -52,25 +69,22 @@ def _broken(rows: DataFrame, rules: list[tuple]) -> DataFrame:
     return rows.select("source", "line_no", F.explode(F.array_compact(F.array(*found))).alias("x")).select("source", "line_no", "x.*")
 
 
-def violations(log: DataFrame, expected: DataFrame | None = None, require_success: bool = True) -> DataFrame:
+def violations(log: DataFrame, expected: DataFrame | None = None, require_success: bool = True, block: int = BLOCK) -> DataFrame:
     """(source, line_no, rule, detail): every broken rule of every source, instead of the first. expected is
-    (source, module, classification), with nulls for what isn't asked."""
-    by_line, r = Window.partitionBy("source").orderBy("line_no"), F.col("record")
-    before = by_line.rowsBetween(Window.unboundedPreceding, -1)
+    (source, module, classification), with nulls for what isn't asked. A log's lines are checked by blocks of so many
+    line numbers; only its digest takes them one after the other."""
+    r = F.col("record")
     stage = F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv])[F.col("type")]
-    rows = log.withColumn("type", r["type"]).withColumn("stage", stage)
-    of_type = Window.partitionBy("source", "type").orderBy("line_no")
+    rows = log.withColumn("type", r["type"])
     begin, chunk, end = (F.col("type") == f"artifact_{x}" for x in ("begin", "chunk", "end"))
-    rows = (
-        rows.withColumn("n", F.row_number().over(by_line) - 1)
-        .withColumn("n_type", F.row_number().over(of_type) - 1)
-        .withColumn("reached", F.max("stage").over(before))
-        .withColumn("begun", F.sum(begin.cast("int")).over(by_line.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("open", F.coalesce(F.sum(begin.cast("int") - end.cast("int")).over(before), F.lit(0)))
-        .withColumn("ended_at", F.min(F.when(F.col("type") == "footer", F.col("n"))).over(Window.partitionBy("source")))
-    )
-    in_group = Window.partitionBy("source", "begun").orderBy("line_no")
-    rows = rows.withColumn("n_chunk", F.sum(chunk.cast("int")).over(in_group.rowsBetween(Window.unboundedPreceding, 0)) - 1).withColumn("group_id", F.first(F.when(begin, r["artifact_id"]), True).over(in_group))
+    one = lambda when: F.coalesce(when, F.lit(False)).cast("long")
+    # What a line's rules need of the lines before it, by blocks of lines, so that a log isn't one task's work.
+    of_type = {f"n_{t}": one(F.col("type") == t) for t in COUNTED}
+    place = F.floor(F.col("line_no") / block)
+    rows = scanned(rows, ["source"], "line_no", place, {"n": F.lit(1).cast("long"), "open": one(begin) - one(end), "chunks": one(chunk), "footers": one(F.col("type") == "footer"), **of_type}, {"reached": stage})
+    rows = scanned(rows, ["source"], "line_no", place, {}, {}, {"group": F.when(begin, F.struct(r["artifact_id"].alias("id"), F.col("chunks").alias("behind")))})
+    turn = F.coalesce(*[F.when(F.col("type") == t, F.col(f"n_{t}")) for t in COUNTED])
+    rows = rows.withColumn("stage", stage).withColumn("n_type", turn).withColumn("n_chunk", F.when(F.col("group").isNotNull(), F.col("chunks") - F.col("group.behind")).otherwise(F.col("chunks"))).withColumn("group_id", F.col("group.id"))
     extra = lambda at: F.when(F.size(F.coalesce(unknown_members(F.get_json_object("line", f"$.{at}")), F.array())) > 0, "members")
     nested = [(c, F.coalesce(byte_value_rule(r[c]), extra(c))) for c in BYTE_FIELDS]
     name = r["scope"]["book_name"]
@@ -85,7 +99,7 @@ def violations(log: DataFrame, expected: DataFrame | None = None, require_succes
         ("JSON object", r.isNull() | ~F.ltrim("line").startswith("{") | F.get_json_object("line", "$").isNull()),
         ("sequence", ~r["sequence"].eqNullSafe(F.col("n")), r["sequence"]),
         ("record type", F.coalesce(F.length("type"), F.lit(0)) == 0),
-        ("after footer", F.col("n") > F.col("ended_at")),
+        ("after footer", F.col("footers") > 0),
         ("order", F.col("stage") < F.col("reached"), F.col("type")),
         ("header first", (F.col("n") == 0) & ~F.col("type").eqNullSafe("header")),
         ("one header", (F.col("type") == "header") & (F.col("n_type") > 0)),
@@ -102,7 +116,7 @@ def violations(log: DataFrame, expected: DataFrame | None = None, require_succes
         ("byte value book_name", name.isNotNull() & named.isNotNull(), named),
     ]
     known = F.array(*[F.lit(f"$.{c}") for c in (*BYTE_FIELDS, "scope.book_name")])
-    faults = log.join(rows.where("more").select("source", "line_no"), ["source", "line_no"], "left_semi").select("source", "line_no", F.explode(envelope_faults("line")).alias("f"))
+    faults = rows.where("more").select("source", "line_no", F.explode(envelope_faults("line")).alias("f"))
     elsewhere = faults.where(~F.array_contains(known, F.col("f.at"))).select("source", "line_no", F.lit("byte value elsewhere").alias("rule"), F.concat("f.at", F.lit(" "), "f.rule").alias("detail"))
     found = [_broken(rows, rules), elsewhere, _artifact_violations(log), _footer_violations(log, require_success)]
     if expected is not None:
@@ -111,23 +125,36 @@ def violations(log: DataFrame, expected: DataFrame | None = None, require_succes
     return reduce(DataFrame.unionByName, found)
 
 
-def artifacts(log: DataFrame) -> DataFrame:
-    """(source, artifact_id, path, content): chunks joined in order; a link's content is its target."""
+def _chunks(log: DataFrame) -> DataFrame:
+    """(source, artifact_id, i, path, data) of what begins an artifact (i -1, data of a link: its target) and its chunks."""
     r = F.col("record")
-    parts = log.where("record.type IN ('artifact_chunk', 'artifact_begin')").select(
+    return log.where("record.type IN ('artifact_chunk', 'artifact_begin')").select(
         "source", r["artifact_id"].alias("artifact_id"), F.coalesce(r["index"], F.lit(-1)).alias("i"), utf8(r["path"]).alias("path"),
-        F.when(r["type"] == "artifact_chunk", decoded(r["data"])).when(r["file_type"] == "symlink", decoded(r["target"])).otherwise(F.lit(b"")).alias("data"),
+        F.when(r["type"] == "artifact_chunk", decoded(r["data"])).when(r["file_type"] == "symlink", decoded(r["target"])).alias("data"),
     )
-    ordered = F.array_sort(F.collect_list(F.struct("i", "data")))
-    joined = F.aggregate(ordered, F.lit(b""), lambda a, x: F.concat(a, F.coalesce(x["data"], F.lit(b""))))
-    return parts.groupBy("source", "artifact_id").agg(F.max("path").alias("path"), joined.alias("content"))
+
+
+def artifact_digests(log: DataFrame) -> DataFrame:
+    """(source, artifact_id, size, sha256) of each artifact, from its chunks in order, of which one is held at a time."""
+    add = lambda s, x: (s[0].update(x), s.__setitem__(1, s[1] + len(x)))
+    return streamed(_chunks(log), ["source", "artifact_id"], ["i"], F.col("data"), lambda: [hashlib.sha256(), 0], add, lambda s: (s[1], s[0].hexdigest()), "size long, sha256 string")
+
+
+def artifacts(log: DataFrame) -> DataFrame:
+    """(source, artifact_id, path, content): chunks joined in order; a link's content is its target. A content is one
+    value, so an artifact must fit in one."""
+    parts = _chunks(log)
+    whole = streamed(parts, ["source", "artifact_id"], ["i"], F.col("data"), list, list.append, lambda parts: (b"".join(parts),), "content binary")
+    paths = parts.where("path IS NOT NULL").groupBy(F.col("source").alias("s"), F.col("artifact_id").alias("a")).agg(F.max("path").alias("path"))
+    joined = whole.join(paths, F.col("source").eqNullSafe(F.col("s")) & F.col("artifact_id").eqNullSafe(F.col("a")), "left")
+    return joined.select("source", "artifact_id", "path", "content")
 
 
 def _artifact_violations(log: DataFrame) -> DataFrame:
     r = F.col("record")
-    ends = log.where("record.type = 'artifact_end'").select("source", "line_no", r["artifact_id"].alias("artifact_id"), r["size"].alias("size"), r["sha256"].alias("sha"))
-    both = ends.join(artifacts(log), ["source", "artifact_id"], "left")
-    return _broken(both, [("artifact size", ~F.col("size").eqNullSafe(F.length("content"))), ("artifact sha256", ~F.col("sha").eqNullSafe(F.sha2("content", 256)))])
+    ends = log.where("record.type = 'artifact_end'").select("source", "line_no", r["artifact_id"].alias("artifact_id"), r["size"].alias("said"), r["sha256"].alias("sha"))
+    both = ends.join(artifact_digests(log), ["source", "artifact_id"], "left")
+    return _broken(both, [("artifact size", ~F.col("said").eqNullSafe(F.col("size"))), ("artifact sha256", ~F.col("sha").eqNullSafe(F.col("sha256")))])
 
 
 def summary(log: DataFrame) -> DataFrame:

@@ -1,8 +1,14 @@
+import hashlib
 import json
+import random
+import time
 
 import pytest
 from logs import entry, log, records, value
 
+from pyspark.sql import functions as F
+
+from lectern.operators.sequences import ordered_digest, scanned
 from lectern.sources import contract
 
 ENTRIES = [entry(0, "verse", "Gen", 1, 1, "one"), entry(1, "verse", "Gen", 1, 2, "two")]
@@ -98,3 +104,60 @@ def test_artifacts_are_joined_in_order(spark):
 def test_no_files(spark):
     files = spark.createDataFrame([], "source string, content binary")
     assert contract.violations(contract.lines(files)).collect() == []
+
+
+def test_a_file_read_by_ranges_has_the_lines_of_one_read_whole(spark, tmp_path, monkeypatch):
+    texts = [log(records(ENTRIES)), log(records(ENTRIES))[:-1], log(records(ENTRIES)).replace("\n", "\r\n"), "\n\na\n\n", "é\n" * 400 + "x", ""]
+    raw = [t.encode() for t in texts] + [b"\xff\xfe\nok\n"]
+    for i, t in enumerate(raw):
+        (tmp_path / f"{i}.ndjson").write_bytes(t)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = contract.read(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() > 10
+        got = {(r["source"].rpartition("/")[2][0], r["line_no"], r["line"], r["ended"], r["valid"]) for r in found.where("valid").collect()}
+        bad = [tuple(r) for r in found.where("NOT valid").select(F.substring_index("source", "/", -1), "line_no", F.hex("line")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    files = spark.createDataFrame([(str(i), bytearray(t)) for i, t in enumerate(raw)], "source string, content binary")
+    assert got == {(r["source"], r["line_no"], r["line"], r["ended"], r["valid"]) for r in contract.lines(files).where("valid").collect()}
+    assert bad == [("6.ndjson", 0, "FFFE")]
+
+
+@pytest.mark.parametrize("block", [1, 3])
+def test_blocks_of_lines_find_what_whole_logs_show(spark, all_broken, block):
+    made = [text() for text, _ in CASES]
+    files = spark.createDataFrame([(str(i), bytearray(t.encode() if isinstance(t, str) else t)) for i, t in enumerate(made)], "source string, content binary")
+    got = {str(i): set() for i in range(len(CASES))}
+    for r in contract.violations(contract.lines(files), block=block).collect():
+        got[r["source"]].add(r["rule"])
+    assert got == all_broken
+
+
+def test_digests_of_many_chunks_take_them_one_by_one(spark):
+    parts = spark.range(60_000).select(F.lit("s").alias("source"), (F.col("id") % 2).alias("artifact_id"), F.col("id").alias("i"), F.rpad(F.col("id").cast("string"), 500, "x").alias("data"))
+    began = time.monotonic()
+    got = {r["artifact_id"]: r["sha256"] for r in ordered_digest(parts, ["source", "artifact_id"], ["i"], F.col("data")).collect()}
+    assert time.monotonic() - began < 40
+    assert got == {k: hashlib.sha256("".join(f"{n}".ljust(500, "x") + "\n" for n in range(k, 60_000, 2)).encode()).hexdigest() for k in (0, 1)}
+    rows = spark.createDataFrame([(None, 1, "a"), ("g", 2, None), (None, 0, "b")], "g string, o int, t string")
+    assert {(r["g"], r["n_lines"], r["sha256"]) for r in ordered_digest(rows, ["g"], ["o"], F.col("t")).collect()} == {(None, 2, hashlib.sha256(b"b\na\n").hexdigest()), ("g", 1, hashlib.sha256(b"\n").hexdigest())}
+    assert ordered_digest(rows.where("o > 9"), ["g"], ["o"], F.col("t")).collect() == []
+
+
+def test_running_values_by_blocks(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", None, "b"]), n, rng.choice([None, 1, 2, 5]), rng.choice([None, "x", "y"])) for n in range(200)]
+    frame = spark.createDataFrame(rows, "g string, n int, v int, t string")
+    got = scanned(frame, ["g"], "n", F.floor(F.col("n") / 7), {"sum": F.coalesce("v", F.lit(0))}, {"most": F.col("v")}, {"last": F.col("t")}).collect()
+    seen = {}
+    want = []
+    for g, n, v, t in rows:
+        before = seen.setdefault(g, [0, None, None])
+        before[2] = t or before[2]
+        want.append((g, n, before[0], before[1], before[2]))
+        before[0] += v or 0
+        before[1] = max(filter(None, (before[1], v)), default=None)
+    assert sorted(((r["g"], r["n"], r["sum"], r["most"], r["last"]) for r in got), key=lambda r: r[1]) == want
