@@ -21,6 +21,8 @@ TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens lo
 FOLD = 16
 #: Items of a batch that are broadcast at most, to find what they counted for; more are joined by a shuffle.
 LOOKED_UP = 50_000
+#: Words whose ids a worker keeps: few, as the heaps of executors fill up while five commits run.
+CACHED_WORDS = 100_000
 
 
 class Rollup:
@@ -133,7 +135,7 @@ def counted(docs: DataFrame, path: str | None = None, version: str = "word_bpe_4
     path = path or vocabulary()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, CACHED_WORDS).encode
         for batch in batches:
             texts = [x.as_py() or b"" for x in batch.column("text")]
             n = [len(ids) // 4 for ids in encode(texts)] + [len(x.split()) for x in texts]
