@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json as jsonlib
+from collections.abc import Iterable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import normalized_name
+from lectern.functions.text import normalized_name, strip
 
 #: The size a published file must stay below, and the rows of a top report.
 MAX_FILE = 95 * 1024 * 1024
@@ -108,10 +110,20 @@ def editorial_violations(entries: DataFrame, verses: DataFrame, group: list[str]
     )
 
 
-def forbidden_members(json: Column, names: set[str] = frozenset(FORBIDDEN)) -> Column:
-    """Which of the names a JSON text has as a member at any depth, maps included. A quoted text before a colon is a
-    member's name; within texts quotes are escaped."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(json, F.lit(rf'(?<!\\\\)"({"|".join(sorted(names))})"\s*:'), F.lit(1))))
+def forbidden_members(json: Column, names: Iterable[str] = frozenset(FORBIDDEN)) -> Column:
+    """Which of the names a JSON text has as a member at any depth, in order; null for null and for what is no JSON. Only
+    the members' names are looked at while the text is read, so nothing of it is kept."""
+    wanted = frozenset(names)
+
+    def members(text: str | None) -> list[str] | None:
+        found: set[str] = set()
+        try:
+            jsonlib.loads(text, object_pairs_hook=lambda pairs: found.update(k for k, _ in pairs if k in wanted))
+        except (TypeError, ValueError, RecursionError):
+            return None
+        return sorted(found)
+
+    return F.arrow_udf(lambda texts: pa.array([members(x.as_py()) for x in texts], pa.list_(pa.string())), "array<string>")(json)
 
 
 def tells_of(name: Column, kind: str) -> Column:
@@ -191,6 +203,97 @@ def document_violations(chapters: DataFrame, group: list[str], number: str, json
     return chapters.select(*group, F.explode(F.array_compact(rules)).alias("rule"))
 
 
+def _of(v: Column, path: str, kind: str, *schemas: str) -> Column:
+    """A member of a variant as kind, null unless it is of one of the JSON types (as schema_of_variant calls them)."""
+    found = F.try_variant_get(v, path, "variant")
+    return F.when(F.schema_of_variant(found).isin(*schemas), F.try_variant_get(v, path, kind))
+
+
+def _whole(v: Column, path: str) -> Column:
+    return _of(v, path, "bigint", "BIGINT")
+
+
+def _text(v: Column, path: str) -> Column:
+    return _of(v, path, "string", "STRING")
+
+
+def _there(v: Column, path: str) -> Column:
+    """Whether a member is there and isn't JSON's null."""
+    found = F.try_variant_get(v, path, "variant")
+    return found.isNotNull() & ~F.is_variant_null(found)
+
+
+def _objects(v: Column, path: str) -> Column:
+    """Whether a member is an array of nothing but objects."""
+    kind = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+    return F.coalesce(kind.startswith("ARRAY<OBJECT") | (kind == "ARRAY<VOID>"), F.lit(False))
+
+
+def _listed(v: Column, path: str) -> Column:
+    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
+
+
+def _keys(v: Column) -> Column:
+    return F.array_sort(F.json_object_keys(F.to_json(v)))
+
+
+def _entry(x: Column, i: Column, numbers: Column) -> Column:
+    """The first rule that a layout's entry breaks, and where it begins and ends among the verses."""
+    kind, exact = _text(x, "$.type"), lambda names: F.array(*[F.lit(n) for n in names])
+    place = lambda path: F.nullif(F.array_position(numbers, _whole(x, path)), F.lit(0))
+    heading, start, end = kind == "heading", F.when(kind == "heading", place("$.anchor.verse")).otherwise(place("$.start")), place("$.end")
+    blank = lambda path: F.coalesce(F.length(strip(_text(x, path))), F.lit(0)) == 0
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    rule = (
+        F.when(no(_whole(x, "$.order") == i), "order")
+        .when(no(kind.isin("heading", "paragraph")), "type")
+        .when(no(_keys(x) == F.when(heading, exact(HEADING_MEMBERS)).otherwise(exact(PARAGRAPH_MEMBERS))), "members")
+        .when(heading & no(_keys(F.try_variant_get(x, "$.anchor", "variant")) == exact(["edge", "verse"])), "anchor")
+        .when(start.isNull() | ~heading & end.isNull(), "place")
+        .when(heading & no(_text(x, "$.anchor.edge") == "before"), "edge")
+        .when(heading & (blank("$.text") | blank("$.heading_type")), "blank heading")
+        .when(heading & _of(x, "$.canonical", "boolean", "BOOLEAN").isNull(), "canonical")
+        .when(~heading & (end < start), "range")
+    )
+    return F.struct(rule.alias("rule"), heading.alias("heading"), start.alias("start"), end.alias("end"))
+
+
+def chapter_facts(chapters: DataFrame, keys: list[str], book: str, number: str, body: str) -> DataFrame:
+    """(keys..., rules, verses, with_tokens, with_spans, tokens, tags, headings, paragraphs) of chapter documents
+    (keys..., the numbers of book and chapter, the body as JSON): each document is read once, and all of its rules
+    are of its own row. rules are the names of those it breaks, in order."""
+    rows = chapters.select(*keys, F.col(book).cast("bigint").alias("__book"), F.col(number).cast("bigint").alias("__number"), forbidden_members(F.col(body)).alias("__forbidden"), F.try_parse_json(body).alias("__v"))
+    v, x = F.col("__v"), lambda c: F.col(f"__{c}")
+    rows = rows.withColumn("__list", _listed(v, "$.verses")).withColumn("__numbers", F.transform("__list", lambda verse: _whole(verse, "$.verse")))
+    verse = lambda y: F.struct(
+        _text(y, "$.text").alias("text"), F.try_variant_get(y, "$.titles", "variant").isNotNull().alias("titled"), _there(y, "$.tokens").alias("has_tokens"), _there(y, "$.spans").alias("has_spans"),
+        _objects(y, "$.tokens").alias("good_tokens"), _objects(y, "$.spans").alias("good_spans"), F.size(_listed(y, "$.tokens")).alias("tokens"), F.transform(_listed(y, "$.spans"), lambda s: F.coalesce(F.try_variant_get(s, "$.tag", "string"), F.lit("<missing>"))).alias("tags"),
+    )
+    rows = rows.withColumn("__verses", F.transform("__list", verse)).withColumn("__entries", F.transform(_listed(v, "$.editorial"), lambda e, i: _entry(e, i, F.col("__numbers"))))
+    some = lambda test: F.exists("__verses", test)
+    entries, ranges = F.col("__entries"), F.filter("__entries", lambda e: ~e["heading"])
+    at = F.transform(entries, lambda e: F.struct(e["start"].alias("start"), F.when(e["heading"], 0).otherwise(1).alias("kind")))
+    well = ~F.exists(entries, lambda e: e["rule"].isNotNull())
+    gaps = F.exists(F.transform(ranges, lambda e, i: e["start"] != F.when(i == 0, 1).otherwise(F.get(ranges, i - 1)["end"] + 1)), lambda gap: gap)
+    has = F.size(ranges) > 0
+    rules = [
+        ("JSON", v.isNull()), ("forbidden", F.size("__forbidden") > 0), ("titles", F.try_variant_get(v, "$.titles", "variant").isNotNull() | some(lambda y: y["titled"])),
+        ("book", ~_whole(v, "$.book_nr").eqNullSafe(x("book"))), ("number", ~_whole(v, "$.chapter").eqNullSafe(x("number"))),
+        ("no verses", ~_objects(v, "$.verses") | (F.size("__list") == 0)), ("verse numbers", F.col("__numbers") != F.transform("__numbers", lambda _, i: (i + 1).cast("bigint"))), ("verse number", F.exists("__numbers", lambda n: n.isNull())),
+        ("empty text", some(lambda y: F.coalesce(F.length(y["text"]), F.lit(0)) == 0)), ("leading line end", some(lambda y: F.coalesce(y["text"].rlike(r"^[\r\n]"), F.lit(False)))),
+        ("tokens", some(lambda y: y["has_tokens"] & ~y["good_tokens"])), ("tokens without spans", some(lambda y: y["has_tokens"] & ~y["has_spans"])), ("spans", some(lambda y: y["has_spans"] & ~y["good_spans"])),
+        ("no tokens", (F.size("__verses") > 0) & ~some(lambda y: y["tokens"] > 0)), ("editorial", _there(v, "$.editorial") & (F.size(entries) == 0)),
+        *[(f"editorial {r}", F.array_contains(F.transform(entries, lambda e: F.coalesce(e["rule"], F.lit(""))), r)) for r in ("order", "type", "members", "anchor", "place", "edge", "blank heading", "canonical", "range")],
+        ("reading order", well & (at != F.array_sort(at))), ("coverage", well & has & gaps), ("coverage end", well & has & ~gaps & (F.element_at(ranges, -1)["end"] != F.size("__list"))),
+    ]
+    total = lambda c: F.aggregate("__verses", F.lit(0).cast("bigint"), lambda a, y: a + c(y))
+    return rows.select(
+        *keys, F.array_compact(F.array(*[F.when(when, F.lit(rule)) for rule, when in rules])).alias("rules"), F.size("__list").cast("bigint").alias("verses"), total(lambda y: (y["tokens"] > 0).cast("bigint")).alias("with_tokens"),
+        total(lambda y: y["has_spans"].cast("bigint")).alias("with_spans"), total(lambda y: y["tokens"].cast("bigint")).alias("tokens"), F.flatten(F.transform("__verses", lambda y: y["tags"])).alias("tags"),
+        F.size(F.filter(entries, lambda e: e["heading"])).cast("bigint").alias("headings"), F.size(ranges).cast("bigint").alias("paragraphs"),
+    )
+
+
 def missing_targets(wanted: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """Wanted keys without a document."""
     return wanted.select(*keys).join(found.select(*keys), keys, "left_anti")

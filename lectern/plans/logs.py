@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lectern.operators import lookups, sequences
 from lectern.plans.catalogue import query
 from lectern.plans.checks import _line, _value
 from lectern.session import shared_folder, table
@@ -22,13 +23,11 @@ def _one_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     no footer. Written as text, a line a record, and read by contract.read."""
     turns = table(spark, sf_dir, "conversations")
     name = lambda at, more=0: (F.col("n") + at + F.when(F.col("turn") % 13 == 7, more).otherwise(0)).cast("long")
-    # Numbers of lines, by conversations, of which a row each goes by one task.
     sizes = turns.groupBy("conv_id").agg(F.count("*").alias("c"), F.count_if(F.col("turn") % 17 == 3).alias("s"))
-    over = contract.Window.orderBy("conv_id").rowsBetween(contract.Window.unboundedPreceding, -1)
-    before = sizes.select("conv_id", F.coalesce(F.sum("c").over(over), F.lit(0)).alias("c"), F.coalesce(F.sum("s").over(over), F.lit(0)).alias("s"))
-    own = contract.Window.partitionBy("conv_id").orderBy("turn").rowsBetween(contract.Window.unboundedPreceding, -1)
+    before = sequences.scanned(sizes.select("conv_id", F.col("c").alias("of"), F.col("s").alias("settings")), [], "conv_id", F.floor(F.col("conv_id") / 4096), {"c": F.col("of"), "s": F.col("settings")}).select("conv_id", "c", "s")
+    own = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     setting = F.col("turn") % 17 == 3
-    placed = turns.join(F.broadcast(before), "conv_id").withColumn("n", F.col("c") + F.count("*").over(own)).withColumn("k", F.col("s") + F.count_if(setting).over(own))
+    placed = turns.join(lookups.small(before), "conv_id").withColumn("n", F.col("c") + F.count("*").over(own)).withColumn("k", F.col("s") + F.count_if(setting).over(own))
     ordinal = F.when(setting, F.col("k")).otherwise(F.col("n") - F.col("k")) + F.when(F.col("turn") % 11 == 5, 1).otherwise(0)
     rows = placed.select(name(2).alias("line_no"), F.when(setting, _line("config_entry", sequence=name(2, 5), ordinal=ordinal, name=_value(F.col("role")), value=_value(F.col("text")))).otherwise(_line("entry", sequence=name(2, 5), ordinal=ordinal, raw=_value(F.col("text")))).alias("line"))
     last = F.lit(turns.count()).cast("long")

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from lectern.plans import checks, logs, published  # noqa: F401  they register their queries
+from lectern.plans import checks, inspected, logs, published  # noqa: F401  they register their queries
 from lectern.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
