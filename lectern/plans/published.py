@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from lectern.functions import text as tx
 from lectern.plans import checks, corpus
 from lectern.plans.catalogue import query
 from lectern.session import settled, shared_folder, table
-from lectern.sources import trees
+from lectern.sources import files, trees
 
 
 def _root(spark: SparkSession) -> str:
@@ -131,3 +134,60 @@ def published_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashes = F.array_sort(F.regexp_extract_all("body", F.lit("([0-9a-f]{40})"), F.lit(1)))
     right = F.when(base.endswith(".sha"), F.col("body") == F.concat("own", F.lit("\n"))).when(tx.is_public_name(base), hashes == F.col("every")).otherwise(F.get_json_object("body", "$.abbreviation").isNotNull() & F.col("body").endswith("}\n"))
     return joined.select("path", F.coalesce(right, F.lit(False)).alias("right"))
+
+
+def _zips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(archive, content): an archive for each source of a language, with its documents and a folder 'mods.d'. Of each
+    eight sources one has a path that leads out, one a link, one a file that others have otherwise, one is cut off, and
+    one has too many members; all have one file that is the same in all."""
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", "text")
+
+    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lang, source = key
+        k, data = int(source[3:]) % 8, io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+            put = lambda name, body: z.writestr(zipfile.ZipInfo(name), body)
+            put("mods.d/", "")
+            put("same/./all", "the same")
+            for doc_id, text in sorted(zip(rows["doc_id"], rows["text"], strict=True)):
+                put(f"docs/{lang}/{doc_id}.txt", text)
+            if k == 0:
+                put("../out", "x")
+            if k == 1:
+                link = zipfile.ZipInfo("docs/link")
+                link.external_attr = 0o120777 << 16
+                z.writestr(link, "/etc")
+            if k in (2, 3):
+                put(f"clash/{lang}", source)
+            if k == 5:
+                for n in range(MEMBERS):
+                    put(f"many/{n}", "")
+        raw = data.getvalue()
+        return pd.DataFrame({"archive": [f"{lang}-{source}.zip"], "content": [raw[: len(raw) // 2] if k == 4 else raw]})
+
+    return docs.groupBy("lang", "source").applyInPandas(packed, "archive string, content binary")
+
+
+#: Members that an archive may have in these queries, beside which no source has as many documents of a language.
+MEMBERS = 20_000
+ZIPS = "z AS (SELECT DISTINCT lang, source, CAST(substr(source, 4) AS INT) % 8 AS k, lang || '-' || source || '.zip' AS archive FROM documents)"
+
+
+@query(f"""
+WITH {ZIPS}, c AS (SELECT lang FROM z WHERE k IN (2, 3) GROUP BY lang HAVING count(*) > 1)
+SELECT archive, '../out' AS path, 'path' AS rule FROM z WHERE k = 0 UNION ALL SELECT archive, 'docs/link', 'link' FROM z WHERE k = 1 UNION ALL SELECT archive, 'clash/' || lang, 'conflict' FROM z JOIN c USING (lang) WHERE k IN (2, 3)
+UNION ALL SELECT archive, NULL, 'unreadable' FROM z WHERE k = 4 UNION ALL SELECT archive, NULL, 'members' FROM z WHERE k = 5
+""")
+def archive_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What keeps archives made of documents from being merged."""
+    return files.refusals(settled(files.members(_zips(spark, sf_dir), MEMBERS).drop("content")))
+
+
+@query(f"""
+WITH {ZIPS}
+SELECT 'docs/' || lang || '/' || doc_id || '.txt' AS path, archive, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS sha256 FROM documents JOIN z USING (lang, source) WHERE k NOT IN (4, 5)
+UNION ALL SELECT 'same/all', min(archive), 8, sha256('the same') FROM z WHERE k NOT IN (4, 5)
+""")
+def archive_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree that the same archives' members make, but for those that clash: one of equal paths."""
+    return files.merged(files.members(_zips(spark, sf_dir), MEMBERS).where("NOT coalesce(path, '') LIKE 'clash/%'")).drop("content")

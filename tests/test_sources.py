@@ -74,3 +74,38 @@ def test_empty_tables(spark):
     assert covering_ranges(rows, ["g"], "at", F.col("start")).collect() == []
     assert sequences.numbering_gaps(rows, ["g"], ["at"], "n").collect() == []
     assert sequences.merge_runs(rows, ["g"], "at", ["n"], "t").collect() == []
+
+
+def zipped(*rows):
+    import io
+    import zipfile
+
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, body, *attr in rows:
+            info = zipfile.ZipInfo(name)
+            info.external_attr = attr[0] if attr else 0
+            z.writestr(info, body)
+    return data.getvalue()
+
+
+def test_archives(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(files, "HELD", 600)
+    broken = bytearray(zipped(("mods.d/x", "abc" * 500)))
+    broken[40] ^= 255
+    made = {
+        "a.zip": zipped(("mods.d/", ""), ("d//f", b"\xff\x00"), ("./e", "1"), ("empty", "")), "b.zip": zipped(("d/f", b"\xff\x00"), ("e", "2"), ("l", "/etc", 0o120777 << 16)), "c.zip": zipped(("/abs", "x"), ("../up", "x"), ("a\\b", "x"), (".", "x")),
+        "d.zip": b"no archive", "e.zip": bytes(broken), "f.zip": zipped(*[(f"n{i}", "") for i in range(6)]), "g.zip": zipped(("big", "x" * 3000)),
+    }
+    for name, data in made.items():
+        (tmp_path / name).write_bytes(data)
+    found = files.members(files.archives(spark, str(tmp_path)).withColumn("archive", F.substring_index("archive", "/", -1)), 5, 2000)
+    got = {tuple(r) for r in files.refusals(found).collect()}
+    assert got == {("b.zip", "l", "link"), *[("c.zip", p, "path") for p in ("/abs", "../up", "a\\b", ".")], ("d.zip", None, "unreadable"), ("e.zip", "mods.d/x", "unreadable"), ("f.zip", None, "members"), ("g.zip", None, "size"), ("a.zip", "e", "conflict"), ("b.zip", "e", "conflict")}
+    tree = {r["path"]: (r["archive"], r["size"], bytes(r["content"]), r["sha256"]) for r in files.merged(found).collect()}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    assert tree == {"d/f": ("a.zip", 2, b"\xff\x00", sha(b"\xff\x00")), "e": ("a.zip", 1, b"1", sha(b"1")), "empty": ("a.zip", 0, b"", sha(b""))}
+    assert [r["rule"] for r in files.refusals(found.where("archive = 'b.zip' AND kind = 'file'")).collect()] == ["configuration"]
+    assert files.members(files.archives(spark, str(tmp_path)).limit(0)).collect() == []
