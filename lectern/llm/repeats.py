@@ -32,7 +32,7 @@ FINER = (16, 1)
 NAMED = 1_000_000
 
 SPANS = "key long, span long, name long, owner long, at int, lo int, n int"
-STRETCHES = "key long, span long, least long, many boolean, at int, n int, units binary"
+STRETCHES = "key long, span long, least long, most long, many boolean, at int, n int, units binary"
 #: Odd, and 3 modulo 8, so that their powers repeat as late as can be.
 _BASES = (np.uint64(0x9E3779B97F4A7C1B), np.uint64(0xD6E8FEB86659FD93))
 
@@ -91,6 +91,7 @@ class Kind:
     digits: Callable  # from cuts of units and a length to a row of 64-bit digits for each cut, zeros after its end
     per: int  # units of a digit
     first_stays: bool  # whether windows stay in the document with the smallest id
+    by_document: bool = True  # whether only windows that other documents have repeat, and not those of the same one
 
 
 def spans(units: object, kind: Kind) -> tuple[np.ndarray, ...]:
@@ -154,8 +155,8 @@ def classes(order: np.ndarray, shared: np.ndarray, depths: np.ndarray) -> np.nda
     return out
 
 
-def alike(at: np.ndarray, n: np.ndarray, least: np.ndarray, many: np.ndarray, ahead: tuple[np.ndarray, np.ndarray], back: tuple[np.ndarray, np.ndarray], window: int) -> list[tuple[int, int, int, int]]:
-    """(row, first window, last window, least owner) of the windows that occur more than once, or in a stretch that
+def alike(at: np.ndarray, n: np.ndarray, least: np.ndarray, most: np.ndarray, many: np.ndarray, ahead: tuple[np.ndarray, np.ndarray], back: tuple[np.ndarray, np.ndarray], window: int) -> list[tuple[int, int, int, int, int]]:
+    """(row, first window, last window, least owner, greatest owner) of the windows that occur more than once, or in a stretch that
     does, among stretches that share an anchor.
 
     ahead and back are what ordered() says of the suffixes that start at the anchors, and of what stands before them
@@ -171,25 +172,27 @@ def alike(at: np.ndarray, n: np.ndarray, least: np.ndarray, many: np.ndarray, ah
     part, row = np.nonzero(there)
     _, of = np.unique(names[part, row], return_inverse=True)
     size = np.bincount(of, 1 + many[row])  # a stretch that occurs more than once counts twice
-    small = np.full(len(size), np.iinfo("int64").max)
+    small, large = np.full(len(size), np.iinfo("int64").max), np.full(len(size), np.iinfo("int64").min)
     np.minimum.at(small, of, least[row])
+    np.maximum.at(large, of, most[row])
     hit = size[of] > 1
-    part, row, small = part[hit], row[hit], small[of[hit]]
+    part, row, small, large = part[hit], row[hit], small[of[hit]], large[of[hit]]
     turned = np.lexsort((-part, row))  # windows in order: the first has the largest a
-    part, row, small = part[turned], row[turned], small[turned]
+    part, row, small, large = part[turned], row[turned], small[turned], large[turned]
     begin, end = at[row] - last[part], at[row] - first[part]
-    new = np.concatenate([[True], (row[1:] != row[:-1]) | (begin[1:] != end[:-1] + 1) | (small[1:] != small[:-1])])[: len(row)]
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (begin[1:] != end[:-1] + 1) | (small[1:] != small[:-1]) | (large[1:] != large[:-1])])[: len(row)]
     starts = np.flatnonzero(new)
     ends = np.append(starts[1:], len(row))[: len(starts)] - 1
-    return list(zip(row[starts].tolist(), begin[starts].tolist(), end[ends].tolist(), small[starts].tolist(), strict=True))
+    return list(zip(row[starts].tolist(), begin[starts].tolist(), end[ends].tolist(), small[starts].tolist(), large[starts].tolist(), strict=True))
 
 
 def sorted_windows(part: pd.DataFrame, kind: Kind) -> pd.DataFrame:
-    """(key, span, a, b, least) of the windows a to b that repeat, of stretches (key, span, least, many, at, n, units)
-    in the order of key: all of a key are there."""
+    """(key, span, a, b, least, most) of the windows a to b that repeat, of stretches (STRETCHES) in the order of key:
+    all of a key are there."""
     texts, at = [kind.split(x) for x in part["units"]], part["at"].to_numpy("int64")
     wide = kind.window - kind.margin
-    keys, n, least, many = part["key"].to_numpy(), part["n"].to_numpy("int64"), part["least"].to_numpy("int64"), part["many"].to_numpy(bool)
+    keys, n, many = part["key"].to_numpy(), part["n"].to_numpy("int64"), part["many"].to_numpy(bool)
+    least, most = (part[c].to_numpy("int64") for c in ("least", "most"))
     edges = bounds(keys)
     group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     sides = []
@@ -198,9 +201,9 @@ def sorted_windows(part: pd.DataFrame, kind: Kind) -> pd.DataFrame:
     rows = []
     for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         ahead, back = ((order[lo:hi] - lo, shared[lo:hi]) for order, shared in sides)
-        rows += [(k + lo, a, b, x) for k, a, b, x in alike(at[lo:hi], n[lo:hi], least[lo:hi], many[lo:hi], ahead, back, kind.window)]
-    of, a, b, small = (np.array(x, "int64") for x in zip(*rows, strict=True)) if rows else (np.zeros(0, "int64"),) * 4
-    return pd.DataFrame({"key": keys[of], "span": part["span"].to_numpy()[of], "a": a, "b": b, "least": small})
+        rows += [(k + lo, *x) for k, *x in alike(at[lo:hi], n[lo:hi], least[lo:hi], most[lo:hi], many[lo:hi], ahead, back, kind.window)]
+    of, a, b, small, large = (np.array(x, "int64") for x in zip(*rows, strict=True)) if rows else (np.zeros(0, "int64"),) * 5
+    return pd.DataFrame({"key": keys[of], "span": part["span"].to_numpy()[of], "a": a, "b": b, "least": small, "most": large})
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -230,7 +233,7 @@ def removed(docs: DataFrame, kind: Kind) -> DataFrame:
     """(name, doc_id, runs array of (a, b)) of rows with repeated windows: units a to b - 1 go, in order, runs
     apart from each other. Rows that occur whole more than once (same id and text) are not compared with each other."""
     spark, texts = docs.sparkSession, named(docs)
-    if kind.first_stays:
+    if kind.by_document:
         texts = texts.where("doc_id IS NOT NULL")
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +241,7 @@ def removed(docs: DataFrame, kind: Kind) -> DataFrame:
             out = []
             for doc, name, text in zip(batch.column("doc_id").to_pylist(), batch.column("name").to_pylist(), batch.column("text"), strict=True):
                 key, span, at, lo, n = spans(kind.split(text.as_py()), kind)
-                owner = np.full(len(key), doc) if kind.first_stays else mix(np.uint64(name & (1 << 64) - 1) ^ mix(lo.astype("uint64"))).view("int64")
+                owner = np.full(len(key), doc) if kind.by_document else mix(np.uint64(name & (1 << 64) - 1) ^ mix(lo.astype("uint64"))).view("int64")
                 out.append((key.view("int64"), span.view("int64"), np.full(len(key), name), owner, at, lo, n))
             columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 7
             kinds = [pa.int64()] * 4 + [pa.int32()] * 3
@@ -248,21 +251,23 @@ def removed(docs: DataFrame, kind: Kind) -> DataFrame:
     keys = found.groupBy("key").agg(F.min("owner").alias("a"), F.max("owner").alias("b"), F.min("span").alias("s"), F.max("span").alias("t"))
     keys = keys.where("a <> b").select("key", (F.col("s") != F.col("t")).alias("differ"))
     shared = stored(found.join(stored(keys), "key"))  # both sides are dealt out anew, so that Spark can split a hot key
-    copies = shared.groupBy("key", "span").agg(F.min("owner").alias("least"), (F.min("owner") != F.max("owner")).alias("many"), F.min_by(F.struct("name", "at", "lo", "n"), "owner").alias("one"), F.first("differ").alias("differ"))
-    copies = stored(copies.select("key", "span", "least", "many", "differ", "one.*"))
-    alike = copies.where("NOT differ AND many").select("key", "span", F.lit(0).alias("a"), (F.col("n") - 1).alias("b"), "least")
+    copies = shared.groupBy("key", "span").agg(F.min("owner").alias("least"), F.max("owner").alias("most"), (F.min("owner") != F.max("owner")).alias("many"), F.min_by(F.struct("name", "at", "lo", "n"), "owner").alias("one"), F.first("differ").alias("differ"))
+    copies = stored(copies.select("key", "span", "least", "most", "many", "differ", "one.*"))
+    alike = copies.where("NOT differ AND many").select("key", "span", F.lit(0).alias("a"), (F.col("n") - 1).alias("b"), "least", "most")
     resolved = alike.union(_sorted_spans(texts, copies.where("differ"), kind))
     hit = shared.join(resolved, ["key", "span"])
     if kind.first_stays:
         hit = hit.where("owner > least")
+    elif kind.by_document:
+        hit = hit.where("least < most")
     gone = hit.select("name", (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b") + kind.window).alias("b"))
     return stored(gone.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("runs")))
 
 
 def _sorted_spans(texts: DataFrame, copies: DataFrame, kind: Kind) -> DataFrame:
-    """(key, span, a, b, least) of the windows a to b of spans that repeat, for keys with different spans."""
-    wanted = copies.groupBy("name").agg(F.collect_list(F.struct("key", "span", "least", "many", "at", "lo", "n")).alias("spans"))
-    fields = ["key", "span", "least", "many", "at", "n"]
+    """(key, span, a, b, least, most) of the windows a to b of spans that repeat, for keys with different spans."""
+    fields = ["key", "span", "least", "most", "many", "at", "n"]
+    wanted = copies.groupBy("name").agg(F.collect_list(F.struct(*fields, "lo")).alias("spans"))
 
     def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,7 +302,7 @@ def _passes(rows: DataFrame, kind: Kind, finer: list[int]) -> DataFrame:
                     yield sorted_windows(group.iloc[cuts:edge], kind)
                     cuts = edge
 
-    schema = "key long, span long, a int, b int, least long"
+    schema = "key long, span long, a int, b int, least long, most long"
     large = rows.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > SORTED).select("key")
     large = cut(large) if finer else large
     if not finer or not large.head(1):
@@ -318,15 +323,15 @@ def _passes(rows: DataFrame, kind: Kind, finer: list[int]) -> DataFrame:
                         ends = [np.array([x]) for x in (r.at - band * wide, r.at - (band + 1) * wide + 1 + window, i, j - 1 + window)]
                         key = mix(one.of(*ends[:2]) ^ mix(np.array([r.key & (1 << 64) - 1, band], "uint64")).sum())
                         span = mix(two.of(*ends[2:]) ^ mix(np.array([(r.at - i) << 32 | (j - i)], "uint64")))
-                        out.append((key.view("int64")[0], span.view("int64")[0], r.least, r.many, r.at - i, j - i, kind.joined(units[i : j - 1 + window]), r.key, r.span, i))
+                        out.append((key.view("int64")[0], span.view("int64")[0], r.least, r.most, r.many, r.at - i, j - i, kind.joined(units[i : j - 1 + window]), r.key, r.span, i))
                         i = j
                 yield pd.DataFrame(out, columns=[*(c.split()[0] for c in STRETCHES.split(", ")), "old_key", "old_span", "i"])
 
     parts = stored(rows.join(large, "key").mapInPandas(relieved(deal), STRETCHES + ", old_key long, old_span long, i int"))
     one = F.min_by(F.struct("at", "n", "units"), "old_span").alias("one")
-    merged_parts = stored(parts.groupBy("key", "span").agg(F.min("least").alias("least"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"), one).select("key", "span", "least", "many", "one.*"))
+    merged_parts = stored(parts.groupBy("key", "span").agg(F.min("least").alias("least"), F.max("most").alias("most"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"), one).select("key", "span", "least", "most", "many", "one.*"))
     found = _passes(merged_parts, kind, finer[1:]).join(parts.select("key", "span", "old_key", "old_span", "i"), ["key", "span"])
-    return few.union(found.select(F.col("old_key").alias("key"), F.col("old_span").alias("span"), (F.col("a") + F.col("i")).alias("a"), (F.col("b") + F.col("i")).alias("b"), "least"))
+    return few.union(found.select(F.col("old_key").alias("key"), F.col("old_span").alias("span"), (F.col("a") + F.col("i")).alias("a"), (F.col("b") + F.col("i")).alias("b"), "least", "most"))
 
 
 def merged(runs: Iterable) -> list[tuple[int, int]]:

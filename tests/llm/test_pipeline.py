@@ -45,20 +45,20 @@ def rows(frame):
 
 
 def gone_words(docs, window=50):
-    """What is left of each text without the words in a window that starts in a smaller doc_id's text too."""
+    """What is left of each text without the words in a window that starts in another doc_id's text too."""
     words = lambda t: re.findall(r"[^\x20\x09-\x0d]+", t or "")
-    least = {}
+    have = {}
     for i, t in docs:
         w = words(t)
         for s in range(len(w) - window + 1):
             if i is not None:
-                least[tuple(w[s : s + window])] = min(least.get(tuple(w[s : s + window]), i), i)
+                have.setdefault(tuple(w[s : s + window]), set()).add(i)
     out = []
     for i, t in docs:
         w = words(t)
         gone = [False] * len(w)
         for s in range(len(w) - window + 1):
-            if i is not None and least[tuple(w[s : s + window])] < i:
+            if i is not None and len(have[tuple(w[s : s + window])]) > 1:
                 gone[s : s + window] = [True] * window
         out.append((i, t if not any(gone) else [x for x, g in zip(w, gone, strict=True) if not g]))
     return out
@@ -114,7 +114,7 @@ def test_stages_against_plain_python(spark, tmp_path):
     want = {i: t for i, t in gone_words(rows(one_each))}
     for i, t in rows(unique):
         assert (t if not isinstance(want[i], list) else t.split()) == want[i]
-    assert sum(isinstance(t, list) for t in want.values()) == 29  # every copy of the passage but the first
+    assert sum(isinstance(t, list) for t in want.values()) == 30  # every copy of the passage
     assert unique.columns == frame.columns and all(r["n_chars"] == len(r["text"] or "") for r in unique.collect())
 
     hidden = stages["personal_data"](spark, unique, at).cache()
@@ -165,3 +165,43 @@ def test_a_short_passage_is_seen_by_words_and_not_by_bytes(spark, words):
     assert rows(suffixes.deduplicated(frame)) == sorted(docs, key=str)
     got = rows(suffixes.deduplicated(frame, suffixes.word_kind()))
     assert [len(t.split()) for _, t in got] == [160 + words, 160, 160, 160]
+    assert [len(t.split()) for _, t in rows(suffixes.deduplicated(frame, suffixes.word_kind(first_stays=False)))] == [160] * 4
+
+
+def passages(n=80, seed=9):
+    """Documents of made-up words, n passages of 51 to 80 words among them in 2 to 10 documents each, with white space of
+    any kind around: (docs, (words, documents in order) of each passage, words of passages in each document)."""
+    rng = random.Random(seed)
+    made = lambda k: ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(k)]
+    texts = [[made(rng.randint(20, 200))] for _ in range(300)]
+    owners = []
+    for _ in range(n):
+        passage, mine = made(rng.randint(51, 80)), sorted(rng.sample(range(300), rng.randint(2, 10)))
+        owners.append((len(passage), mine))
+        for i in mine:
+            texts[i] += [passage, made(rng.randint(20, 200))]
+    joined = lambda words: "".join(w + rng.choice([" ", " ", " ", "\n", "\t ", "  "]) for w in words)
+    return [(i, "".join(joined(part) for part in t)) for i, t in enumerate(texts)], owners, [sum(len(p) for p in t[1::2]) for t in texts]
+
+
+@pytest.mark.parametrize("operator", ["op8", "pipeline"])
+def test_no_later_copy_of_a_planted_passage_is_missed(spark, operator):
+    """Op8's contract leaves the first copy of each passage where it is, so a document that holds first copies alone
+    doesn't change; all later ones go. The pipeline's stage lets the first go too."""
+    from lectern.llm import substrings
+
+    docs, owners, planted_words = passages()
+    frame = frames(spark, docs)
+    n = {i: len(t.split()) for i, t in docs}
+    if operator == "op8":
+        lost = {r["doc_id"]: r["n_removed"] for r in substrings.digests(frame).collect()}
+    else:
+        lost = {i: n[i] - len(t.split()) for i, t in rows(corpus_pipeline.drop_repeats(spark, frame, ""))}
+    later, first = {i for _, m in owners for i in m[1:]}, {m[0] for _, m in owners}
+    changed = {i for i, k in lost.items() if k}
+    assert later - changed == set(), "misses"
+    if operator == "op8":
+        assert changed == later and len(first - later) > 0  # documents of first copies alone stay whole
+        assert sum(lost.values()) == sum(k * (len(m) - 1) for k, m in owners)
+    else:
+        assert changed == later | first and lost == dict(enumerate(planted_words))
