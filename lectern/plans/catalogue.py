@@ -495,6 +495,21 @@ def part_markup_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", "s.tag", "s.span", F.col("s.attrs")["type"].alias("type"), n("token_start"), n("token_end"), n("word_start"))
 
 
+@query("""
+SELECT p_partkey, CAST(0 AS BIGINT) AS i, p_brand AS token, NULL AS tag, NULL AS type, NULL AS sub FROM part UNION ALL SELECT p_partkey, 1, p_type, 'transChange', CASE WHEN p_size % 2 = 0 THEN 'added' ELSE 't' || p_size END, NULL FROM part
+UNION ALL SELECT p_partkey, 2, p_brand, 'seg', 'x', 'y' || p_size FROM part UNION ALL SELECT p_partkey, 3, p_name, NULL, NULL, NULL FROM part WHERE p_size % 3 = 0
+""")
+def part_markup_lone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Additions and segments without words, which are tokens of their own with a span each; a segment with an element in
+    it is none, but the words in that are."""
+    added = F.when(F.col("p_size") % 2 == 0, "").otherwise(F.concat(F.lit(' type="t'), F.col("p_size").cast("string"), F.lit('"')))
+    last = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("<w>"), "p_name", F.lit("</w>"))).otherwise(F.concat(F.lit("<hi>"), "p_name", F.lit("</hi>")))
+    raw = F.concat(F.lit("<w>"), "p_brand", F.lit("</w> <transChange"), added, F.lit(">"), "p_type", F.lit('</transChange> <seg type="x" subType="y'), F.col("p_size").cast("string"), F.lit('">'), "p_brand", F.lit("</seg> <seg>"), last, F.lit("</seg>"))
+    rows = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism).select("p_partkey", markup(raw, F.lit(None)).alias("m"))
+    span = F.get(F.filter("m.annotated.spans", lambda s: s["token_start"] == F.col("i")), F.lit(0))
+    return rows.select("p_partkey", "m", F.posexplode("m.annotated.tokens").alias("i", "t")).select("p_partkey", F.col("i").cast("bigint").alias("i"), "t.token", span["tag"].alias("tag"), span["attrs"]["type"].alias("type"), span["attrs"]["subType"].alias("sub"))
+
+
 @query("SELECT p_partkey, true AS paragraph, CAST(1 AS BIGINT) AS n_titles, 'main' AS type, p_brand AS text, p_name AS plain FROM part")
 def part_markup_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _part_markup(spark, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import tarfile
 import uuid
 import zipfile
 
@@ -14,7 +15,7 @@ from lectern.functions import text as tx
 from lectern.plans import checks, corpus
 from lectern.plans.catalogue import query
 from lectern.session import settled, shared_folder, table
-from lectern.sources import files, trees
+from lectern.sources import files, releases, trees
 
 
 def _root(spark: SparkSession) -> str:
@@ -191,3 +192,72 @@ UNION ALL SELECT 'same/all', min(archive), 8, sha256('the same') FROM z WHERE k
 def archive_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tree that the same archives' members make, but for those that clash: one of equal paths."""
     return files.merged(files.members(_zips(spark, sf_dir), MEMBERS).where("NOT coalesce(path, '') LIKE 'clash/%'")).drop("content")
+
+
+TAIL = "usr/bin/tool"
+
+
+def _tars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(archive, content): a release of each source of a language, whose tool is a digest of its documents' ids. Of each
+    seven sources one has a member that leads out, one a link as its tool, one two tools, one none, one is cut off."""
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "doc_id")
+
+    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lang, source = key
+        k, data = int(source[3:]) % 7, io.BytesIO()
+        with tarfile.open(fileobj=data, mode="w:gz") as t:
+            def put(name: str, body: bytes, kind: bytes = tarfile.REGTYPE) -> None:
+                info = tarfile.TarInfo(name)
+                info.size, info.type, info.linkname = len(body), kind, "x"
+                t.addfile(info, io.BytesIO(body))
+
+            put("p/readme", source.encode())
+            if k != 3:
+                put("p/usr/bin/tool", b"" if k == 1 else ",".join(map(str, sorted(rows["doc_id"]))).encode(), tarfile.SYMTYPE if k == 1 else tarfile.REGTYPE)
+            if k == 2:
+                put("q/usr/bin/tool", b"other")
+            if k == 0:
+                put("../x", b"")
+        raw = data.getvalue()
+        return pd.DataFrame({"archive": [f"{lang}-{source}"], "content": [raw[: len(raw) // 2] if k == 4 else raw]})
+
+    return docs.groupBy("lang", "source").applyInPandas(packed, "archive string, content binary")
+
+
+@query("""
+WITH r AS (SELECT lang || '-' || source AS archive, CAST(substr(source, 4) AS INT) % 7 AS k, string_agg(doc_id, ',' ORDER BY doc_id) AS body FROM documents GROUP BY lang, source)
+SELECT archive, CASE WHEN k > 4 THEN 'p/usr/bin/tool' END AS path, CASE WHEN k > 4 THEN sha256(body) END AS sha256, CASE k WHEN 0 THEN 'path' WHEN 1 THEN 'kind' WHEN 2 THEN 'several' WHEN 3 THEN 'none' WHEN 4 THEN 'unreadable' END AS rule FROM r
+""")
+def release_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one tool of each release, or what keeps it from being taken."""
+    tars = settled(_tars(spark, sf_dir))
+    return releases.executables(tars, releases.tar_members(tars, TAIL))
+
+
+@query("""
+WITH d AS (SELECT doc_id, sha256(text) AS sha FROM documents)
+SELECT doc_id, sha AS sha256, CASE doc_id % 6 WHEN 0 THEN 'missing' WHEN 1 THEN 'format' WHEN 2 THEN 'name' WHEN 3 THEN 'sha256' WHEN 4 THEN 'digest' END AS rule FROM d
+""")
+def release_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as assets, with checksums that are missing, misshapen, of another name or other bytes, or with another
+    digest, and some that are right."""
+    of, name, sha = F.col("doc_id") % 6, F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.sha2(F.col("text").cast("binary"), 256)
+    docs = table(spark, sf_dir, "documents")
+    assets = docs.select(F.col("doc_id").alias("release"), name.alias("name"), F.col("text").cast("binary").alias("content"), F.concat(F.lit("sha256:"), F.when(of == 4, "0").otherwise(sha)).alias("digest"))
+    line = F.when(of == 1, F.concat(F.upper(sha), F.lit("  "), name)).when(of == 2, F.concat(sha, F.lit("  other"))).when(of == 3, F.concat(F.sha2(name.cast("binary"), 256), F.lit(" *"), name)).otherwise(F.concat(sha, F.lit("  "), name, F.lit("\n")))
+    sums = docs.where(of > 0).select(F.col("doc_id").alias("release"), F.concat(name, F.lit(".sha256")).alias("name"), line.cast("binary").alias("content"))
+    return releases.verified(assets, sums).select(F.col("release").alias("doc_id"), "sha256", "rule")
+
+
+@query(f"""
+WITH {BODIES}
+SELECT lang || '/' || source || '.json' AS path, source AS name, sha1('[' || chr(34) || replace(body, chr(10), '|') || chr(34) || ']' || chr(10)) AS sha FROM b WHERE source NOT IN ('src1', 'src2')
+""")
+def tree_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON documents of a written tree by path, without reserved names and other files."""
+    root = _root(spark)
+    rows = _bodies(spark, sf_dir)
+    json = rows.select(F.regexp_replace("path", "txt$", "json").alias("path"), F.to_json(F.array(F.replace("body", F.lit("\n"), F.lit("|")))).alias("body"))
+    trees.write(json.union(rows.select("path", "body")), root, F.col("path"), F.col("body"))
+    found = files.documents(spark, root, ["src1", "src2"])
+    return found.select(F.substring_index("path", "/", -2).alias("path"), "name", F.sha1(F.col("body").cast("binary")).alias("sha")).orderBy("path")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators import lookups, quality, sequences
-from lectern.sources import dims, files, trees
+from lectern.sources import dims, files, releases, trees
 
 
 def test_dimensions(spark, tmp_path):
@@ -109,3 +109,19 @@ def test_archives(spark, tmp_path, monkeypatch):
     assert tree == {"d/f": ("a.zip", 2, b"\xff\x00", sha(b"\xff\x00")), "e": ("a.zip", 1, b"1", sha(b"1")), "empty": ("a.zip", 0, b"", sha(b""))}
     assert [r["rule"] for r in files.refusals(found.where("archive = 'b.zip' AND kind = 'file'")).collect()] == ["configuration"]
     assert files.members(files.archives(spark, str(tmp_path)).limit(0)).collect() == []
+
+
+def test_releases(spark):
+    made = lambda kind, *rows: spark.createDataFrame(list(rows), kind)
+    good = {"schema": "p/v1", "repository": "a/b", "version": "v1.2.3-rc.1"}
+    cases = [(good, []), (good | {"version": "latest"}, []), (good | {"more": 1}, ["members"]), (good | {"schema": "p/v2"}, ["schema"]), (good | {"repository": "a"}, ["repository"]), (good | {"version": "1.2"}, ["version"]), (good | {"version": 5}, ["version"]), ([1], ["JSON", "schema", "repository", "version"])]
+    rows = made("source string, body string", *[(str(i), json.dumps(c)) for i, (c, _) in enumerate(cases)], ("x", "{"))
+    got = {r["source"]: r for r in releases.policies(rows, "p/v1").collect()}
+    assert [got[str(i)]["rules"] for i in range(len(cases))] == [r for _, r in cases] and got["0"]["version"] == "1.2.3-rc.1" and got["1"]["version"] == "latest" and "JSON" in got["x"]["rules"]
+    body = {"tag_name": "v1.2.3", "id": 7}
+    cases = [(body, "latest", []), (body, "1.2.3", []), (body, "1.2.4", ["version"]), (body | {"tag_name": "one"}, "latest", ["tag"]), (body | {"draft": True}, "latest", ["unfinished"]), (body | {"prerelease": True}, "latest", ["unfinished"]), (body | {"id": "7"}, "latest", ["id"]), ({}, "latest", ["tag", "id"])]
+    got = {r["source"]: r["rules"] for r in releases.resolved(made("source string, body string, requested string", *[(str(i), json.dumps(b), q) for i, (b, q, _) in enumerate(cases)])).collect()}
+    assert [got[str(i)] for i in range(len(cases))] == [r for *_, r in cases]
+    assert releases.tar_members(made("archive string, content binary"), "a/b").collect() == []
+    broken = made("archive string, content binary", ("a", bytearray(b"no tar")), ("b", None))
+    assert {(r["archive"], r["rule"]) for r in releases.executables(broken, releases.tar_members(broken, "a/b")).collect()} == {("a", "unreadable"), ("b", "unreadable")}
