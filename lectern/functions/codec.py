@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import json
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,35 +89,43 @@ def utf8(value: Column) -> Column:
     return F.when(F.is_valid_utf8(data.cast("string")), data.cast("string"))
 
 
+def _odd_byte(e: UnicodeDecodeError) -> tuple[str, int]:
+    byte = e.object[e.start : e.start + 1]
+    try:
+        return byte.decode("cp1252"), e.start + 1
+    except UnicodeDecodeError:
+        return byte.decode("latin-1"), e.start + 1
+
+
 def mixed_text(data: bytes) -> str:
     """Valid UTF-8 as it is; each other byte as Windows-1252 has it, else as Latin-1."""
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        codecs.register_error("lectern-mixed", _odd_byte)
+        return data.decode("utf-8", "lectern-mixed")
 
-    def one(e: UnicodeDecodeError) -> tuple[str, int]:
-        byte = e.object[e.start : e.start + 1]
-        try:
-            return byte.decode("cp1252"), e.start + 1
-        except UnicodeDecodeError:
-            return byte.decode("latin-1"), e.start + 1
-
-    import codecs
 
-    codecs.register_error("lectern-mixed", one)
-    return data.decode("utf-8", "lectern-mixed")
+def _mixed(data: pa.Array) -> pa.Array:
+    try:
+        return data.cast(pa.string())  # all of a batch at once, where all of it is UTF-8
+    except pa.ArrowInvalid:
+        return pa.array([None if x is None else mixed_text(x) for x in data.to_pylist()], pa.string())
 
 
-@F.pandas_udf(T.StringType())
-def mixed_decode(data: pd.Series) -> pd.Series:
+def mixed_decode(data: Column) -> Column:
     """mixed_text of binary values; Spark's decoders know no Windows-1252."""
-    return data.map(lambda x: None if x is None else mixed_text(bytes(x)))
+    return F.arrow_udf(_mixed, T.StringType())(data.cast("binary"))
 
 
 def display_text(stripped: Column, raw: Column, rendered: Column, kind: Column, plain) -> Column:  # noqa: ANN001
     """The text to show: stripped if it is UTF-8; else, for marked-up sources, the plain text of raw, then of
     rendered (an empty one ends the search); else stripped with its other bytes mapped one by one. All three are
-    binary; plain turns a text column into its plain text."""
+    binary; plain turns a text column into its plain text. Only what is needed goes to Python."""
     text = lambda b: F.when(F.is_valid_utf8(b.cast("string")), b.cast("string"))
-    marked = F.lower(kind) == "osis"
-    return F.coalesce(text(stripped), F.when(marked, F.coalesce(plain(text(raw)), plain(text(rendered)))), mixed_decode(stripped))
+    odd, marked = text(stripped).isNull(), F.lower(kind) == "osis"
+    shown = lambda b: plain(F.when(odd & marked, text(b)))
+    return F.coalesce(text(stripped), F.when(marked, F.coalesce(shown(raw), shown(rendered))), mixed_decode(F.when(odd, stripped)))
 
 
 def token_markup(raw: Column, rendered: Column, kind: Column) -> Column:
