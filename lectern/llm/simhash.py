@@ -16,7 +16,7 @@ from lectern.llm.common import bounds, components, cut, dealt, key_runs, relieve
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
-#: Buckets above this are joined up by pivots, smaller ones pair by pair.
+#: Buckets above this are joined up by pivots, smaller ones pair by pair; the ring's chain is asked in both.
 SMALL = 64
 
 
@@ -103,12 +103,19 @@ class Ring:
         return out
 
 
-def _all_near(fps: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links that join up what any links among fps would, at most one for each. Pivots take what is near them;
-    then only the balls whose pivots are close enough, and that aren't joined yet, are compared."""
+def _all_near(fps: np.ndarray, distance: int, ring: Ring | None = None, first: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links that join up what any links among fps would, at most one for each. With a ring, a link is a pair that passes
+    its chain from the segment first on, else any within distance. Pivots take what is near them; then only the balls
+    whose pivots are close enough, and that aren't joined yet, are compared."""
+
+    def close(one: int, others: np.ndarray) -> np.ndarray:
+        if ring is None:
+            return np.bitwise_count(fps[others] ^ fps[one]) <= distance
+        return ring.near(np.full(len(others), fps[one]), fps[others], np.full(len(others), first))
+
     links, balls, rest = [], [], np.arange(len(fps))
     while len(rest):
-        near = np.bitwise_count(fps[rest] ^ fps[rest[0]]) <= distance
+        near = close(rest[0], rest)
         balls.append(rest[near])
         links.append((np.full(near.sum(), rest[0]), rest[near]))
         rest = rest[~near]
@@ -125,7 +132,7 @@ def _all_near(fps: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarr
         for y in np.flatnonzero(np.bitwise_count(pivots[x + 1 :] ^ pivots[x]) <= 3 * distance) + x + 1:
             if find(x) != find(int(y)):
                 for p in balls[x]:
-                    if len(hit := balls[y][np.bitwise_count(fps[balls[y]] ^ fps[p]) <= distance]):
+                    if len(hit := balls[y][close(p, balls[y])]):
                         links.append((np.array([p]), hit[:1]))
                         up[find(x)] = find(int(y))
                         break
@@ -163,7 +170,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
                     out.append((fp[i[ok]], fp[j[ok]]))
             for lo, hi in zip(edges[:-1][large], edges[1:][large], strict=True):
                 own = np.unique(fp[lo:hi])
-                out += [(own[i], own[j]) for i, j in _all_near(own, distance)]
+                out += [(own[i], own[j]) for i, j in _all_near(own, distance, ring, int(first[lo]))]
             a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, "uint64"),) * 2
             yield pd.DataFrame({"a": a.view("int64"), "b": b.view("int64")}).query("a != b").drop_duplicates()
 

@@ -88,6 +88,24 @@ def test_crowded_buckets_join_up():
     assert (roots(len(fps), a, b) == roots(len(fps), i, j)).all()
 
 
+@pytest.mark.parametrize("distance", [3, 4])
+def test_crowded_buckets_ask_the_ring(distance):
+    """Chains from all segments together join up what lies within the distance, in crowds too; one alone links less."""
+    rng, ring = np.random.default_rng(6), simhash.Ring(distance)
+    centre = rng.integers(0, 1 << 63, 3, dtype="uint64")
+    fps = np.unique(np.concatenate([c ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (150, 2), dtype="uint64"), axis=1) for c in centre]))
+    found = []
+    for first in range(ring.segments):
+        a, b = (np.concatenate(x) for x in zip(*simhash._all_near(fps, distance, ring, first), strict=True))
+        own = a != b
+        assert ring.near(fps[a[own]], fps[b[own]], np.full(own.sum(), first)).all()
+        found.append((a, b))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    i, j = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None]) <= distance)
+    assert (roots(len(fps), a, b) == roots(len(fps), i, j)).all()
+    assert len(np.unique(roots(len(fps), *found[0]))) > len(np.unique(roots(len(fps), a, b)))
+
+
 @pytest.mark.parametrize("distance", [2, 3, 4, 7])
 def test_pigeonring_finds_every_pair(distance):
     rng = np.random.default_rng(distance)
