@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import is_public_name
+from lectern.operators.sequences import streamed
 
 
 def hashed(docs: DataFrame, body: Column, url: Column) -> DataFrame:
@@ -57,9 +60,15 @@ def sheets(docs: DataFrame, name: str, header: list[str], columns: list[str]) ->
 
 
 def rollup_hash(docs: DataFrame, group: list[str], key: str, sha: str = "sha") -> DataFrame:
-    """(group..., n, sha): a hash over the children's keys and hashes, by key; children are serialized already."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.concat_ws(":", F.col(key).cast("string"), F.col(sha)).alias("v"))))
-    return docs.groupBy(*group).agg(F.count("*").alias("n"), F.sha1(F.array_join(F.transform(pairs, lambda x: x["v"]), ",").cast("binary")).alias("sha"))
+    """(group..., n, sha): a hash over the children's keys and hashes, by key; children are serialized already. A group's
+    children are taken one after the other, however many there are."""
+
+    def add(state: list, pair: bytes) -> None:
+        state[0].update(b"," + pair if state[1] else pair)
+        state[1] += 1
+
+    pair = F.concat_ws(":", F.col(key).cast("string"), F.col(sha))
+    return streamed(docs, group, [key, sha] if key != sha else [key], pair, lambda: [hashlib.sha1(), 0], add, lambda s: (s[1], s[0].hexdigest()), "n long, sha string")
 
 
 def numbered(docs: DataFrame, group: list[str], order: list[str]) -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from lectern.operators.lookups import small
 from lectern.session import settled
 
+#: Bytes of results that a task of streamed() holds before it hands them on.
+HELD = 16 << 20
+
 
 def numbering_gaps(rows: DataFrame, group: list[str], order: list[str], number: str, first: int = 0) -> DataFrame:
     """(group..., checked, violations): rows of a group, and those whose number isn't first, first + 1, ... in order."""
@@ -96,31 +99,39 @@ def streamed(rows: DataFrame, group: list[str], order: list[str], value: Column,
     nothing else has the result of a fresh state."""
     columns = [c.split()[0] for c in kind.split(", ")]
     schema = ", ".join([*(f"`{g}` {rows.schema[g].dataType.simpleString()}" for g in group), kind])
-    # Arrow's sort and Spark's equality agree on groups, as equal ones are neighbours.
     dealt = rows.select(*group, *order, value.cast("binary").alias("__value")).repartition(*group).sortWithinPartitions(*group, *order)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, state, held = None, None, False
+        fixed = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+        key, state, held, kinds, told, size = None, None, False, [], [], 0
+
+        def result() -> None:
+            nonlocal size
+            told.append((*key, *end(state)))
+            size += sum(len(x) for x in told[-1] if isinstance(x, bytes | str))
 
-        def told() -> pa.RecordBatch:
-            found = [*key, *end(state)]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(found, types, strict=True)], names=[*group, *columns])
+        def out() -> pa.RecordBatch:
+            nonlocal size
+            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*told, strict=True), kinds, strict=True)], names=[*group, *columns])
+            told.clear()
+            size = 0
+            return made
 
-        types = None
         for batch in batches:
-            if types is None:
-                fixed = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-                types = [*(batch.schema.field(g).type for g in group), *(fixed[c.split()[1]] for c in kind.split(", "))]
-            keys = list(zip(*[batch.column(g).to_pylist() for g in group], strict=True))
+            kinds = [*(batch.schema.field(g).type for g in group), *(fixed[c.split()[1]] for c in kind.split(", "))]
+            keys = zip(*[batch.column(g).to_pylist() for g in group], strict=True)
             for own, x in zip(keys, batch.column("__value"), strict=True):
                 if not held or own != key:
                     if held:
-                        yield told()
+                        result()
                     key, state, held = own, start(), True
+                    if len(told) >= 1024 or size > HELD:
+                        yield out()
                 if (data := x.as_py()) is not None:
                     add(state, data)
         if held:
-            yield told()
+            result()
+            yield out()
 
     return dealt.select(*group, "__value").mapInArrow(run, schema)
 
