@@ -197,8 +197,9 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of whole texts; a null text counts as empty. A row of docs
-    gives a row, repeated or not."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of whole texts, of any length, in time that grows with it, without
+    white space too; a null text counts as empty. A row of docs gives a row, repeated or not. An empty table gives none;
+    other columns, whatever their names, play no part."""
     path = path or vocabulary("piece_bpe_32k.model")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -254,7 +254,9 @@ def digests(docs: DataFrame, trees: Trees) -> DataFrame:
 
 def redacted(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
     """docs with each run of overlapping spans replaced by its first span's kind, as in [EMAIL], and n_chars, if
-    there is one, set anew where that happens. Null texts stay null."""
+    there is one, set anew where that happens. Null texts stay null, empty ones empty; texts may be of any length, rows
+    repeated whole and ids with several texts are rows of their own, an empty table gives an empty one, and other columns
+    pass, whatever their names."""
     trees = trees or trained(docs)
     base, added, every, runs = (spare(docs, x) for x in ("base", "added", "every", "runs"))
     rows = spotted(docs, trees, base, added).withColumn(every, F.array_sort(F.concat(base, added)))

@@ -204,7 +204,9 @@ def unjoined(rows: DataFrame, keyed: DataFrame, similarity: float, width: int) -
 
 def first_of_groups(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
     """docs with one row of each class of similar_classes: the one with the smallest doc_id (of equals, the smallest
-    hash of id and text; of rows repeated whole, any). A row without a doc_id stays if its class has no other."""
+    hash of id and text; of rows repeated whole, any). A row without a doc_id stays if its class has no other. Null, empty
+    and blank texts are one class; texts may be of any length. An empty table gives an empty one; other columns pass,
+    whatever their names."""
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "name")
     first = cut(similar_classes(docs, similarity, width).groupBy("class").agg(F.min_by("name", order).alias("name")).select("name"))
     return one_each(docs, first)

@@ -123,7 +123,7 @@ def top_k(vectors: DataFrame, asks: Column, k: int = K, least: int = LEAST, most
 
     Queries and candidates are dealt into blocks whose sizes have bounds, each query block meets each candidate
     block in a task of its own, and the blocks' results are ranked. A row's block doesn't depend on its id or
-    vector, so copies spread. Rows that share the query's vec_id are its own; rows with a null vec_id take no part. Vectors of other lengths count as
+    vector, so copies spread. A vector of any length is held whole by each task that compares it. Rows that share the query's vec_id are its own; rows with a null vec_id take no part. Vectors of other lengths count as
     padded with zeros. Of several rows with a query's vec_id the results are of them all, ranked as one."""
     rows = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "v", F.coalesce(asks, F.lit(False)).alias("asks"), F.monotonically_increasing_id().alias("n")).where("vec_id IS NOT NULL"))
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).first()

@@ -179,7 +179,9 @@ def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of labels.toxic, fitted in one task on at most sample labelled rows that aren't held out. Of
-    several labels of a document the largest counts; null labels and labels without a document don't."""
+    several labels of a document the largest counts; null labels and labels without a document don't, null texts have no
+    terms, and of repeated rows each counts. Texts may be of any length, as terms count once. Without labels, or without
+    documents, the model says 0 of all; other columns, whatever their names, play no part."""
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     own = own.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -216,7 +218,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, model: Model) -> DataFrame:
-    """docs without the rows whose text scores 0.5 or more; all columns stay as they are."""
+    """docs without the rows whose text, of any length, scores 0.5 or more; all columns stay as they are, whatever their
+    names. Null and empty texts have the score of no terms, rows repeated whole are judged each, and an empty table gives
+    an empty one."""
     kept = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -80,11 +80,12 @@ def near(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of vectors (vec_id, v array of numbers), one row for each row.
 
     n_links counts the other rows whose cosine with this one is found to be at least cosine. Equal vectors are
-    one class, which takes the smallest id; what meets in buckets are the classes. Vectors of other lengths never link. A null vec_id takes
-    part with its vector and gets its class's component. Rows that share a vec_id are rows of their own."""
+    one class, which takes the smallest id; what meets in buckets are the classes. A rotation takes the square of a
+    vector's length, so lengths of some thousands are the end. An empty table gives no rows; other columns play no part. Vectors of other lengths never link. A row with a null vec_id
+    counts with others of its vector and gets their component; where none of them has an id it links with nothing. Rows that share a vec_id are rows of their own."""
     rows = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(usable(F.col("v")) & F.exists("v", lambda x: x != 0), F.col("v")).alias("v")))
-    classes = rows.where("v IS NOT NULL AND vec_id IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("class"), F.count("*").alias("n"))
-    classes = cut(classes)
+    classes = rows.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("class"), F.count("*").alias("n"))
+    classes = cut(classes.where("class IS NOT NULL"))
     bits, turns = keys(classes.count(), cosine)
 
     def keyed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -144,6 +144,14 @@ def test_embeddings(spark):
     assert vectors.near(frame.where("vec_id < 0")).collect() == []
 
 
+def test_rows_repeated_whole_and_longer_vectors(spark):
+    rng = np.random.default_rng(4)
+    long, other = rng.normal(size=600).tolist(), rng.normal(size=600).tolist()
+    rows = [(1, long), (1, long), (1, other), (2, long), (None, long), (7, other), (8, [-x for x in long])]
+    got = sorted(map(tuple, vectors.near(spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, v array<double>, n_links int")).collect()), key=str)
+    assert got == sorted([(1, 3, 1, True), (1, 3, 1, True), (1, 1, 1, True), (2, 3, 1, False), (None, 3, 1, False), (7, 1, 1, False), (8, 0, 8, True)], key=str)
+
+
 def collections_of(rows, good):
     links, i, j = [0] * len(rows), [], []
     for size in {len(rows[k][1]) for k in good}:

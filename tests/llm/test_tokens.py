@@ -55,6 +55,16 @@ def test_piece_digests(spark):
     assert pieces.digests(frame.where("doc_id > 9")).collect() == []
 
 
+@pytest.mark.parametrize("text", ["ab" * 60_000, "x" * 100_000, "中" * 40_000, "".join(random.Random(5).choices("abcdefghij", k=100_000))])
+def test_pieces_of_texts_without_white_space(text):
+    import sentencepiece
+
+    path = tokens.vocabulary("piece_bpe_32k.model")
+    library, own = sentencepiece.SentencePieceProcessor(model_file=path), pieces.PieceCodec(path)
+    ids = own.encode(text)
+    assert ids == library.encode(text) and own.decode(ids) == library.decode(ids)
+
+
 def test_packing(spark):
     rng = random.Random(1)
     docs = [(i, " ".join(rng.choices(["a", "bee", "cedar,", "Dé"], k=rng.choice([0, 3, 40, 900, 5000])))) for i in range(120)] + [(3, None), (4, "a"), (4, "a"), (None, "b")]
