@@ -309,3 +309,9 @@ def size_gate(roots: DataFrame, files: DataFrame, root: str, size: str, limit: i
     seen = files.groupBy(root).agg(F.count("*").alias("__n"), F.sum(size).alias("__sum"), F.max(size).alias("__max"))
     rule = F.when(F.col("__n").isNull(), "missing").when(F.col("__sum") == 0, "empty").when(F.col("__max") >= limit, "size")
     return roots.select(root).distinct().join(seen, root, "left").select(root, rule.alias("rule")).where("rule IS NOT NULL")
+
+
+def broken_rules(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., rule) of chapter_facts' rows, a row for each rule that is broken."""
+    # An inner explode would have all that rules are made of evaluated once more in a filter below it.
+    return facts.select(*keys, F.explode_outer("rules").alias("rule")).where("rule IS NOT NULL")

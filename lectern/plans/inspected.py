@@ -58,8 +58,8 @@ def inspect_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules that chapter documents break, each with another fault, a wrong number or book, or none."""
     key, of = F.col("o_orderkey"), F.col("o_orderkey") % (len(FAULTS) + 3)
     body = _chapter(of, F.when(of == len(FAULTS) + 1, 0).otherwise(key), F.when(of == len(FAULTS), 0).otherwise(key))
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
-    return quality.chapter_facts(rows, ["o_orderkey"], "o_orderkey", "o_orderkey", "body").select("o_orderkey", F.explode("rules").alias("rule"))
+    rows = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism).select("o_orderkey", body.alias("body"))
+    return quality.broken_rules(quality.chapter_facts(rows, ["o_orderkey"], "o_orderkey", "o_orderkey", "body"), ["o_orderkey"])
 
 
 @query("""

@@ -81,7 +81,7 @@ def inspect(translations: DataFrame, chapters: DataFrame, files: DataFrame, root
         fixed(own.where(F.size("members") > 0), F.col("abbreviation"), "forbidden"), fixed(own.where("NOT said <=> abbreviation"), F.col("abbreviation"), "abbreviation"),
         told(quality.misnamed(books, named, ["abbreviation", "nr"], "name", "aliases").withColumn("rule", F.concat(F.lit("book "), "rule")), place("abbreviation", "nr")),
         fixed(quality.missing_targets(wanted, facts, at), place(*at), "missing chapter"),
-        told(facts.select(*at, F.explode("rules").alias("rule")), place(*at)),
+        told(quality.broken_rules(facts, at), place(*at)),
     ]
     tags = facts.select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count("*").alias("n")).orderBy("tag")
     shown = facts.select(*at, "verses", "with_tokens", "with_spans", "tokens", F.size("tags").cast("bigint").alias("spans"), "headings", "paragraphs")

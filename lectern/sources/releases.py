@@ -83,7 +83,7 @@ def tar_members(archives: DataFrame, tail: str) -> DataFrame:
 
     def facts(archive: str, data: bytes) -> Iterator[tuple]:
         try:
-            with tarfile.open(fileobj=io.BytesIO(data), mode="r|*") as opened:
+            with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as opened:
                 for m in opened:
                     path = PurePosixPath(m.name)
                     wanted, digest = path.parts[-len(parts) :] == parts, None
@@ -94,6 +94,8 @@ def tar_members(archives: DataFrame, tail: str) -> DataFrame:
                         while piece := source.read(1 << 20):
                             digest.update(piece)
                     yield archive, m.name, kind, m.size, digest and digest.hexdigest(), rule
+                while opened.fileobj.read(1 << 20):  # to the end, where what is cut off shows
+                    pass
         except (tarfile.TarError, EOFError, OSError, zlib.error, lzma.LZMAError):
             yield archive, None, None, None, None, "unreadable"
 
