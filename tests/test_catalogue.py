@@ -5,9 +5,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from lectern.plans import checks, inspected, logs, published  # noqa: F401  they register their queries
+from lectern.plans import catalogue, checks, inspected, logs, published  # noqa: F401  they register their queries
 from lectern.plans.catalogue import ORACLES, QUERIES
+from lectern.sources import contract
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -32,3 +34,13 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(got.columns) == sorted(want.columns)
     columns = sorted(got.columns)
     assert plain(got[columns]) == plain(want[columns])
+
+
+def test_logs_are_made_line_by_line(spark):
+    rows = catalogue._log_lines(spark, DATA)
+    got = {s: [r["line"] for r in sorted(rows.where(F.col("source") == s).collect(), key=lambda r: r["line_no"])] for s in ("s0", "s1", "s2", "s3")}
+    assert all("\n" not in line for lines in got.values() for line in lines)
+    files = spark.createDataFrame([(s, "".join(f"{x}\n" for x in lines).encode()) for s, lines in got.items()], "source string, content binary")
+    told = lambda log: sorted(tuple(r) for r in log.select("source", "line_no", "line", "ended", "valid").collect())
+    assert told(contract.records(rows)) == told(contract.lines(files))
+    assert contract.violations(contract.records(rows)).collect() == []
