@@ -44,3 +44,9 @@ def test_logs_are_made_line_by_line(spark):
     told = lambda log: sorted(tuple(r) for r in log.select("source", "line_no", "line", "ended", "valid").collect())
     assert told(contract.records(rows)) == told(contract.lines(files))
     assert contract.violations(contract.records(rows)).collect() == []
+
+
+def test_archives_are_packed_without_their_documents_at_once(spark):
+    zips = published._zips(spark, DATA)
+    assert "FlatMapGroupsInPandas" not in zips._jdf.queryExecution().toString()
+    assert zips.count() == zips.select("archive").distinct().count() == spark.read.parquet(f"{DATA}/documents.parquet").select("lang", "source").distinct().count()
